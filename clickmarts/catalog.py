@@ -69,3 +69,41 @@ def o_events(spark: SparkSession, sf_dir: str, cfg: MartConfig = MartConfig()) -
 @register("events_mart")
 def q_events_mart(spark, sf_dir):
     return flat(r_events(spark, sf_dir))
+
+
+def r_sessions(spark, sf_dir, cfg: MartConfig = MartConfig()):
+    from clickmarts.plans.sessions_mart import sessions_mart
+    return sessions_mart(r_events(spark, sf_dir, cfg), cfg)
+
+
+@register("sessions_mart")
+def q_sessions_mart(spark, sf_dir):
+    return r_sessions(spark, sf_dir)
+
+
+def _users(spark, sf_dir, fanout):
+    from clickmarts.operators.users import users_rollup
+    u = users_rollup(r_sessions(spark, sf_dir), fanout=fanout)
+    return u.withColumn("total_engaged_seconds", F.round("total_engaged_seconds", 6))
+
+
+@register("users_mart")
+def q_users_mart(spark, sf_dir):
+    return _users(spark, sf_dir, "dedup")
+
+
+@register("users_rollup_fanout")
+def q_users_rollup_fanout(spark, sf_dir):
+    return _users(spark, sf_dir, "reference")
+
+
+@register("products_mart")
+def q_products_mart(spark, sf_dir):
+    from clickmarts.operators.products import products_mart
+    return products_mart(o_events(spark, sf_dir))
+
+
+@register("event_params_mart")
+def q_event_params_mart(spark, sf_dir):
+    from clickmarts.operators.event_params import event_params_mart
+    return event_params_mart(r_events(spark, sf_dir))

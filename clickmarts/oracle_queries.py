@@ -9,3 +9,12 @@ from clickmarts.oracle import EVENTS_FLAT, with_r
 ORACLE: Dict[str, str] = {}
 
 ORACLE["events_mart"] = with_r(f"SELECT\n  {EVENTS_FLAT}\nFROM ev")
+
+from clickmarts.oracle import (EVENT_PARAMS_SQL, PRODUCTS_SQL, users_sql,  # noqa: E402
+                               with_sessions)
+
+ORACLE["sessions_mart"] = with_sessions("SELECT * FROM sm")
+ORACLE["users_mart"] = users_sql(fanout=False)
+ORACLE["users_rollup_fanout"] = users_sql(fanout=True)
+ORACLE["products_mart"] = PRODUCTS_SQL
+ORACLE["event_params_mart"] = EVENT_PARAMS_SQL
