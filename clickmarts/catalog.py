@@ -550,3 +550,76 @@ def q_explode_items(spark, sf_dir):
 def q_distinct_items(spark, sf_dir):
     from clickmarts.operators.products import distinct_items, explode_items, filter_ecommerce, item_rows
     return distinct_items(item_rows(explode_items(filter_ecommerce(o_events(spark, sf_dir)))))
+
+
+# -- streaming (T1-T3): rows-only checks ------------------------------------------------
+
+def _land_raw(spark, sf_dir) -> str:
+    """Land the R fixture as raw shard files (one directory per table suffix)."""
+    from clickmarts.sources.sinks import scratch_path
+    configure(spark)
+    path = scratch_path(spark, "landing")
+    raw_events(spark, sf_dir).write.partitionBy("table_suffix").parquet(path)
+    return path
+
+
+def _run_available_now(writer) -> None:
+    q = writer.trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+@register("stream_prepare")
+def q_stream_prepare(spark, sf_dir):
+    """The stateless event preparation as a streaming query into parquet."""
+    from clickmarts.sources.sinks import scratch_path
+    from clickmarts.streaming.refresh import prepare_stream, raw_stream
+    landing = _land_raw(spark, sf_dir)
+    schema = spark.read.parquet(landing).schema
+    out, ckpt = scratch_path(spark, "prepared"), scratch_path(spark, "ckpt")
+    prepared = prepare_stream(raw_stream(spark, landing, schema, 8))
+    _run_available_now(prepared.writeStream.format("parquet").option("path", out)
+                       .option("checkpointLocation", ckpt).outputMode("append"))
+    return flat(spark.read.parquet(out)).select(
+        "event_bundle_sequence_id", "user_pseudo_id", "ga_session_id", "event_name", "page_url",
+        "event_traffic_source_source", "event_traffic_source_medium", "date_tz", "is_streaming")
+
+
+@register("stream_refresh")
+def q_stream_refresh(spark, sf_dir):
+    """foreachBatch refresh of the touched days into a day-partitioned events mart."""
+    from clickmarts.plans.incremental import stable_ids
+    from clickmarts.sources.sinks import read_partitions, scratch_path
+    from clickmarts.streaming.refresh import raw_stream, refresh_on_batch
+    landing = _land_raw(spark, sf_dir)
+    schema = spark.read.parquet(landing).schema
+    target, ckpt = scratch_path(spark, "events"), scratch_path(spark, "ckpt")
+    fn = refresh_on_batch(lambda: spark.read.schema(schema).parquet(landing), target,
+                          stable_ids(), padding_days=3)
+    _run_available_now(raw_stream(spark, landing, schema, 8).writeStream
+                       .foreachBatch(fn).option("checkpointLocation", ckpt))
+    return read_partitions(spark, target).select("id", "session_id", "user_pseudo_id", "event_name",
+                                                 "event_sequence", "page_sequence", "date_tz")
+
+
+@register("stream_sessions")
+def q_stream_sessions(spark, sf_dir):
+    """Watermarked live session counters (update mode), latest version per session."""
+    from clickmarts.sources.sinks import scratch_path
+    from clickmarts.streaming.refresh import live_session_metrics, prepare_stream, raw_stream
+    landing = _land_raw(spark, sf_dir)
+    schema = spark.read.parquet(landing).schema
+    out, ckpt = scratch_path(spark, "live"), scratch_path(spark, "ckpt")
+    live = live_session_metrics(prepare_stream(raw_stream(spark, landing, schema, 8)))
+
+    def append(batch, batch_id):
+        batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
+
+    _run_available_now(live.writeStream.outputMode("update").foreachBatch(append)
+                       .option("checkpointLocation", ckpt))
+    rows = spark.read.parquet(out)
+    latest = rows.groupBy("session_id", "w").agg(
+        F.max_by(F.struct("user_pseudo_id", "events", "page_views", "engaged_seconds",
+                          "first_event_at_utc", "last_event_at_utc"), F.col("batch_id")).alias("m"))
+    return latest.select("session_id", F.col("w.start").alias("window_start"), "m.*")

@@ -195,3 +195,13 @@ ORACLE["param_value_string"] = EVENT_PARAMS_SQL.replace(
     "SELECT event_id || key AS id, event_id,", "SELECT id, key, event_parameter_value FROM (SELECT event_id || key AS id, event_id,") + ")"
 ORACLE["explode_params"] = with_r(
     "SELECT event_id, key FROM epu", "epu AS (" + __import__("clickmarts.oracle", fromlist=["x"]).params_union() + "),\n")
+
+# -- streaming (deterministic ones get a full oracle) ------------------------------------
+ORACLE["stream_prepare"] = with_r(
+    "SELECT event_id AS event_bundle_sequence_id, user_pseudo_id, p_gsid AS ga_session_id, event_name, "
+    "page_url, ts_source AS event_traffic_source_source, ts_medium AS event_traffic_source_medium, "
+    "date_tz, is_streaming FROM e5")
+ORACLE["stream_refresh"] = with_r(
+    f"SELECT {skey('business_unit', 'user_pseudo_id', 'ets', 'rn2')} AS id, session_id, user_pseudo_id, "
+    "event_name, event_sequence, page_sequence, date_tz FROM "
+    "(SELECT ev.*, row_number() OVER (PARTITION BY user_pseudo_id, ets ORDER BY event_name, event_id) AS rn2 FROM ev)")
