@@ -12,23 +12,36 @@ def _as_col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def param(arr, key: str, slot: str = "string_value") -> Column:
-    """Value of ``key`` in a key/value array, read from one typed slot.
+def param_keys(arr) -> Column:
+    """The keys of a key/value array, in order (materialise once, reuse per lookup)."""
+    return F.transform(_as_col(arr), lambda p: p["key"])
 
-    A correlated "select value.slot from unnest(arr) where key = k" in the
-    reference; here a higher-order ``filter`` evaluated inside the row, so no
-    join or explode is planned.  ``get`` (not ``[0]``) keeps a missing key NULL
-    under ANSI mode.
+
+def param_entry(arr, key: str, keys=None) -> Column:
+    """First entry whose key is ``key``; NULL when absent.
+
+    A correlated "select value from unnest(arr) where key = k" in the
+    reference; here a positional lookup inside the row (``array_position`` on
+    the key array, 0 when absent, and ``get`` which yields NULL out of
+    bounds), so no join or explode is planned and no exception is raised on
+    a missing key under ANSI mode.  Passing a precomputed ``keys`` column
+    shares one key extraction between many lookups.
     """
+    a = _as_col(arr)
+    k = param_keys(a) if keys is None else _as_col(keys)
+    return F.get(a, F.array_position(k, F.lit(key)) - F.lit(1))
+
+
+def param(arr, key: str, slot: str = "string_value", keys=None) -> Column:
+    """Value of ``key`` in a key/value array, read from one typed slot (F1)."""
     if slot not in VALUE_SLOTS:
         raise ValueError(f"unknown value slot {slot!r}")
-    hit = F.get(F.filter(_as_col(arr), lambda p: p["key"] == F.lit(key)), 0)
-    return hit["value"][slot]
+    return param_entry(arr, key, keys)["value"][slot]
 
 
-def param_numeric(arr, key: str) -> Column:
-    """float slot, else int slot (the double slot is not consulted)."""
-    hit = F.get(F.filter(_as_col(arr), lambda p: p["key"] == F.lit(key)), 0)
+def param_numeric(arr, key: str, keys=None) -> Column:
+    """float slot, else int slot (the double slot is not consulted) (F2)."""
+    hit = param_entry(arr, key, keys)
     return F.coalesce(hit["value"]["float_value"], hit["value"]["int_value"].cast("double"))
 
 

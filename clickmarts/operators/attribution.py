@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickmarts.config import NOT_SET
-from clickmarts.functions.params import param
+from clickmarts.functions.params import param as _param
+from clickmarts.functions.params import param_keys
 from clickmarts.functions.urls import hostname, url_param
 
 STSLC = "session_traffic_source_last_click"
@@ -91,6 +92,12 @@ def _set(c: Column) -> Column:
 def extract_params(df: DataFrame, events_col: str = "event_params") -> DataFrame:
     """Materialise the event parameters every later step reads (F1, F5, F12 inputs)."""
     ep = F.col(events_col)
+    df = df.withColumn("_param_keys", param_keys(ep))
+    keys = F.col("_param_keys")
+
+    def param(arr, key, slot="string_value"):
+        return _param(arr, key, slot, keys)
+
     return df.withColumns({
         "page_url": param(ep, "page_location"),
         "page_title": param(ep, "page_title"),
@@ -107,7 +114,7 @@ def extract_params(df: DataFrame, events_col: str = "event_params") -> DataFrame
         "_p_content": param(ep, "content"),
         "_p_term": param(ep, "term"),
         "_p_gclid": param(ep, "gclid"),
-    })
+    }).drop("_param_keys")
 
 
 def resolve_traffic_fields(df: DataFrame, extended: bool = False) -> DataFrame:

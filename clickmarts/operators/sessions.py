@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from clickmarts.config import (DIRECT_SOURCE, MEDIUM_PRIORITY_NONE, MEDIUM_PRIORITY_REFERRAL,
                                NOT_SET)
-from clickmarts.functions.params import param
+from clickmarts.functions.params import param, param_entry, param_keys
 from clickmarts.functions.timeparts import date_of, days_between, duration_seconds
 from clickmarts.operators.attribution import (CLICK_ID_FIELDS, GOOGLE_ADS_FIELDS, PMAX_FIELDS,
                                               TRAFFIC_SOURCE_FIELDS)
@@ -109,9 +109,9 @@ def _attribution_record() -> Column:
                     "landing_page", "landing_page_query", *_STRUCTS)
 
 
-def engaged_flag(params: Column) -> Column:
+def engaged_flag(params: Column, keys=None) -> Column:
     """Per event: greatest(safe-cast text slot, int slot) of session_engaged; NULL if absent."""
-    hit = F.get(F.filter(params, lambda p: p["key"] == F.lit("session_engaged")), 0)
+    hit = param_entry(params, "session_engaged", keys)
     flag = F.greatest(F.coalesce(hit["value"]["string_value"].try_cast("long"), F.lit(0)),
                       F.coalesce(hit["value"]["int_value"], F.lit(0)))
     return F.when(hit.isNotNull(), flag)
@@ -126,14 +126,20 @@ def session_rollup(events: DataFrame) -> DataFrame:
     """
     is_start = F.col("event_name") == F.lit("session_start")
     key = first_row_key()
+    ep = F.col("event_params")
+    events = events.withColumn("_param_keys", param_keys(ep))
+    keys = F.col("_param_keys")
     composite = F.concat(F.col("id"), F.col("user_pseudo_id"),
-                         param(F.col("event_params"), "ga_session_id", "int_value").cast("string"))
-    return events.groupBy("session_id").agg(
+                         param(ep, "ga_session_id", "int_value", keys).cast("string"))
+    # The session id is derived from the user, so grouping by (user, session)
+    # forms the same groups; it lets the aggregate (and the per-user window
+    # after it) reuse an existing partitioning by user instead of a new
+    # exchange by session.
+    return events.groupBy("user_pseudo_id", "session_id").agg(
         F.min_by(_start_record(), F.when(is_start, key)).alias("start"),
         F.min_by(_attribution_record(), key).alias("attr"),
-        F.first("user_pseudo_id").alias("user_pseudo_id"),
-        F.max(engaged_flag(F.col("event_params"))).alias("is_engaged"),
-        (F.sum(param(F.col("event_params"), "engagement_time_msec", "int_value"))
+        F.max(engaged_flag(ep, keys)).alias("is_engaged"),
+        (F.sum(param(ep, "engagement_time_msec", "int_value", keys))
          / F.lit(1000)).alias("engaged_seconds"),
         F.count_distinct(composite).alias("event_count"),
         F.max("event_timestamp_utc").alias("session_end_at_utc"),
