@@ -64,3 +64,14 @@ class MartConfig:
     preview_days: Optional[int] = None
     id_scope: str = "scan"
     clean_path: Optional[Callable[[Column], Column]] = None
+    # Window layout: "user" partitions the event windows by user (one
+    # exchange, fastest on evenly spread data); "sliced" partitions them by
+    # (user, time slice) and corrects from per-slice summaries, so a hot user
+    # or session is spread over many tasks (its inputs are written once to
+    # the checkpoint folder, a second pass over them is needed).  "auto"
+    # counts rows per user first (a narrow aggregate) and slices only when
+    # some user holds more than ``skew_threshold_rows``.  Same results.
+    window_layout: str = "auto"
+    skew_threshold_rows: int = 10_000_000
+    slice_seconds: int = 3600
+    session_slice_seconds: int = 86400

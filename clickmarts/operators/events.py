@@ -164,7 +164,7 @@ def backfill_session_id(df: DataFrame, seconds: int = SESSION_LENGTH_SECONDS) ->
     incrementally (O(rows)); it is accepted only if its second is >= s - n.
     This equals the +-n frame because every non-NULL row in the +-n frame has
     second <= s + n, and the last such row lies in the frame iff its second is
-    >= s - n.  Ties within a second resolve by the per-user rank.
+    >= s - n.  Ties within a second resolve by time, then the per-user rank.
     """
     sec = seconds_from_micros(F.col("event_timestamp_utc"))
     df = df.withColumn("_sec", sec)
@@ -172,7 +172,8 @@ def backfill_session_id(df: DataFrame, seconds: int = SESSION_LENGTH_SECONDS) ->
          .rangeBetween(Window.unboundedPreceding, seconds))
     has = F.col("ga_session_id").isNotNull()
     cand = F.max_by(F.struct(F.col("_sec").alias("s"), F.col("ga_session_id").alias("v")),
-                    F.when(has, F.struct(F.col("_sec"), F.col("_row_num")))).over(w)
+                    F.when(has, F.struct(F.col("_sec"), F.col("event_timestamp_utc"),
+                                         F.col("_row_num")))).over(w)
     df = df.withColumn("_cand", cand)
     own_second = F.substring(F.col("event_timestamp_utc").cast("string"), 1, 10).cast("long")
     filled = F.when(F.col("_cand.s") >= F.col("_sec") - F.lit(seconds), F.col("_cand.v"))

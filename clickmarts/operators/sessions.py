@@ -147,7 +147,8 @@ def session_rollup(events: DataFrame) -> DataFrame:
     )
 
 
-def last_non_direct(sessions: DataFrame) -> DataFrame:
+def last_non_direct(sessions: DataFrame, layout: str = "auto",
+                    slice_seconds: int = 86400, threshold: int = 10_000_000) -> DataFrame:
     """Candidate last-non-direct session per session (W7) with its start row.
 
     Over the user's sessions ordered by first-event time, the latest session
@@ -156,15 +157,22 @@ def last_non_direct(sessions: DataFrame) -> DataFrame:
     ``start`` record, so the reference's join back to sessions by id is not
     needed.  A candidate without a session_start row yields NULL.
     """
+    direct = F.col("attr.event_traffic_source.source") == F.lit(DIRECT_SOURCE)
+    own = F.struct(F.col("session_id").alias("id"), F.col("start").alias("start"))
+    candidate = F.when(direct, F.lit(None)).otherwise(own)
+    from clickmarts.operators import sliced
+    # Sessions per user never exceed events per user: a bound recorded by the
+    # events mart (column metadata) avoids a second count.
+    chosen, _ = sliced.choose_layout(sessions, layout, ["user_pseudo_id"], threshold,
+                                     bound=sliced.known_max_rows(sessions))
+    if chosen == "sliced":
+        rolled = sliced.materialize(sessions, "session-rollup")
+        return sliced.last_non_direct(rolled, candidate, own, slice_seconds)
     w = (Window.partitionBy("user_pseudo_id")
          .orderBy(F.col("attr.session_start_at_utc"), F.col("session_id"))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    direct = F.col("attr.event_traffic_source.source") == F.lit(DIRECT_SOURCE)
-    candidate = F.when(direct, F.lit(None)).otherwise(
-        F.struct(F.col("session_id").alias("id"), F.col("start").alias("start")))
     last = F.last(candidate, ignorenulls=True).over(w)
-    return sessions.withColumn(
-        "lnd", F.coalesce(last, F.struct(F.col("session_id").alias("id"), F.col("start").alias("start"))))
+    return sessions.withColumn("lnd", F.coalesce(last, own))
 
 
 def _attributed(prefix: str, rec: Column) -> list:

@@ -205,3 +205,7 @@ ORACLE["stream_refresh"] = with_r(
     f"SELECT {skey('business_unit', 'user_pseudo_id', 'ets', 'rn2')} AS id, session_id, user_pseudo_id, "
     "event_name, event_sequence, page_sequence, date_tz FROM "
     "(SELECT ev.*, row_number() OVER (PARTITION BY user_pseudo_id, ets ORDER BY event_name, event_id) AS rn2 FROM ev)")
+
+# The sliced layout must give exactly the default results.
+ORACLE["events_mart_sliced"] = ORACLE["events_mart"]
+ORACLE["sessions_mart_sliced"] = ORACLE["sessions_mart"]

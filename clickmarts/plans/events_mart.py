@@ -9,6 +9,7 @@ from clickmarts.config import MartConfig
 from clickmarts.functions.timeparts import hour_from_micros
 from clickmarts.operators import attribution as attr
 from clickmarts.operators import events as ev
+from clickmarts.operators import sliced
 
 
 def prepare_events(raw: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
@@ -29,16 +30,34 @@ def prepare_events(raw: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
 def events_mart(raw: DataFrame, cfg: MartConfig = MartConfig(), flat: bool = False) -> DataFrame:
     """All 86 event columns (P16 order).
 
-    One hash exchange on ``user_pseudo_id`` serves the rank (W1), the session
-    id back-fill (W2) and the per-session navigation windows (W3, W4).
+    ``window_layout="user"``: one hash exchange on ``user_pseudo_id`` serves
+    the rank (W1), the session id back-fill (W2) and the per-session
+    navigation windows (W3, W4).  ``"sliced"``: the same results from windows
+    over (user, time slice) partitions plus small per-slice summaries, so no
+    task ever holds all events of one user or session.  ``"auto"`` (default)
+    picks "sliced" only when a user exceeds ``cfg.skew_threshold_rows``.
     """
     df = prepare_events(raw, cfg)
-    df = ev.rank_events(df, cfg.id_scope)
-    df = ev.backfill_session_id(df, cfg.session_length_seconds)
-    df = ev.add_session_key(df)
-    df = ev.with_url_parts(df, "page_url", cfg.clean_path)
-    df = ev.page_navigation(df)
-    df = ev.event_sequence(df)
+    layout, top = sliced.choose_layout(df, cfg.window_layout, ["user_pseudo_id"],
+                                       cfg.skew_threshold_rows)
+    df = sliced.record_max_rows(df, top)
+    if layout == "sliced":
+        df = sliced.materialize(df, "prepared-events")
+        if cfg.id_scope == "scan":
+            df = sliced.rank_events(df, cfg.slice_seconds)
+        else:
+            df = ev.rank_events(df, cfg.id_scope)  # keyed by (user, instant): no hot partition
+        df = sliced.backfill_session_id(df, cfg.session_length_seconds)
+        df = sliced.materialize(ev.add_session_key(df), "sessionised-events")
+        df = ev.with_url_parts(df, "page_url", cfg.clean_path)
+        df = sliced.navigation_and_sequence(df, cfg.slice_seconds)
+    else:
+        df = ev.rank_events(df, cfg.id_scope)
+        df = ev.backfill_session_id(df, cfg.session_length_seconds)
+        df = ev.add_session_key(df)
+        df = ev.with_url_parts(df, "page_url", cfg.clean_path)
+        df = ev.page_navigation(df)
+        df = ev.event_sequence(df)
     df = df.withColumns({
         "id": F.col("event_id"),
         "event_hour_of_day_utc": hour_from_micros(F.col("_event_micros")),

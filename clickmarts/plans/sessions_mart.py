@@ -12,5 +12,6 @@ def sessions_mart(events: DataFrame, cfg: MartConfig = MartConfig()) -> DataFram
     """One row per session that has a session_start event (123 columns)."""
     prepared = ss.default_dimensions(events, cfg.not_set)
     rolled = ss.session_rollup(prepared)
-    with_lnd = ss.last_non_direct(rolled)
+    with_lnd = ss.last_non_direct(rolled, cfg.window_layout, cfg.session_slice_seconds,
+                                  cfg.skew_threshold_rows)
     return ss.assemble_sessions(with_lnd, cfg.last_non_direct_lookback)
