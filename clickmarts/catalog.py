@@ -640,3 +640,26 @@ def q_events_mart_sliced(spark, sf_dir):
 def q_sessions_mart_sliced(spark, sf_dir):
     """The sessions mart over sliced events, with the sliced last-non-direct window."""
     return r_sessions(spark, sf_dir, SLICED)
+
+
+@register("users_rollup")
+def q_users_rollup(spark, sf_dir):
+    """A5: the user metrics of the rollup (first-touch columns checked in first_touch)."""
+    from clickmarts.operators.users import USER_METRICS
+    return _users(spark, sf_dir, "dedup").select("id", *USER_METRICS)
+
+
+@register("src_prefer_daily")
+def q_src_prefer_daily(spark, sf_dir):
+    """Opt-in de-duplication of a day present both as a daily and an intraday shard.
+
+    The fixture's last day exists only as intraday shards; a daily copy of it
+    is added, so without the option that day would be doubled.
+    """
+    from clickmarts.sources.shards import prefer_daily
+    raw = r_raw(spark, sf_dir)
+    last = raw.agg(F.max("date_tz")).first()[0]
+    daily_copy = raw.where((F.col("date_tz") == F.lit(last)) & (F.col("is_streaming") == "streaming")) \
+        .withColumn("is_streaming", F.lit("daily"))
+    kept = prefer_daily(raw.unionByName(daily_copy))
+    return kept.select("event_bundle_sequence_id", "is_streaming", "date_tz")

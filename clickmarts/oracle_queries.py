@@ -209,3 +209,12 @@ ORACLE["stream_refresh"] = with_r(
 # The sliced layout must give exactly the default results.
 ORACLE["events_mart_sliced"] = ORACLE["events_mart"]
 ORACLE["sessions_mart_sliced"] = ORACLE["sessions_mart"]
+
+_fst_u, _sel_u = users_select(False)
+ORACLE["users_rollup"] = with_sessions(
+    "SELECT id, first_session_at_utc, last_session_at_utc, sessions, page_views, total_session_duration, "
+    "total_engaged_seconds, total_events FROM (" + _sel_u + ")", 90, _fst_u + ",\n")
+ORACLE["src_prefer_daily"] = with_r(
+    "SELECT event_id AS event_bundle_sequence_id, "
+    "CASE WHEN date_tz = (SELECT max(date_tz) FROM e5) THEN 'daily' ELSE is_streaming END AS is_streaming, "
+    "date_tz FROM e5")
