@@ -128,6 +128,44 @@ def flatten_records(df: DataFrame, strict_engagement: bool = True) -> DataFrame:
     return df.select(*out)
 
 
+def window_inputs(df: DataFrame) -> DataFrame:
+    """Columns the windows read, named as in the mart, added to the raw row.
+
+    The events mart runs its windows on raw rows plus these few columns and
+    derives everything else afterwards (:func:`finish_columns`): the shuffle
+    and the window sorts then carry the raw record, not the ~60 derived
+    attribution fields that depend on the row alone.
+    """
+    return df.withColumns({
+        "event_timestamp_utc": F.col("event_timestamp"),
+        "hostname": F.col("device.web_info.hostname"),
+    })
+
+
+def finish_columns(df: DataFrame, strict_engagement: bool = True) -> DataFrame:
+    """Select the 86 mart columns from a windowed raw row."""
+    from clickmarts.functions.timeparts import hour_from_micros
+    computed = {
+        "id": F.col("event_id"),
+        "event_timestamp_utc": F.col("event_timestamp_utc"),
+        "event_hour_of_day_utc": hour_from_micros(F.col("_event_micros")),
+        "page": F.col("page_path"),
+        "engagement_time_sec": engagement_seconds(F.col("_engagement_time_text"), strict_engagement),
+    }
+    raw_paths = {name: src for name, src in _flat_columns()}
+    out = []
+    for name in EVENT_COLUMNS:
+        if name in computed:
+            c = computed[name]
+        elif name in raw_paths and name not in df.columns:
+            src = raw_paths[name]
+            c = F.col(src) if isinstance(src, str) else src
+        else:
+            c = F.col(name)
+        out.append(c.alias(name))
+    return df.select(*out)
+
+
 def rank_events(df: DataFrame, id_scope: str = "scan") -> DataFrame:
     """Per-user event rank (W1) and the event id built from it.
 

@@ -3,10 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from clickmarts.config import MartConfig
-from clickmarts.functions.timeparts import hour_from_micros
 from clickmarts.operators import attribution as attr
 from clickmarts.operators import events as ev
 from clickmarts.operators import sliced
@@ -36,8 +34,12 @@ def events_mart(raw: DataFrame, cfg: MartConfig = MartConfig(), flat: bool = Fal
     over (user, time slice) partitions plus small per-slice summaries, so no
     task ever holds all events of one user or session.  ``"auto"`` (default)
     picks "sliced" only when a user exceeds ``cfg.skew_threshold_rows``.
+
+    The windows run on the raw row plus the few columns they read; the
+    row-local attribution (P2-P10) and flattening (P11) are applied after
+    them, so shuffles and sorts do not carry the derived fields.
     """
-    df = prepare_events(raw, cfg)
+    df = ev.window_inputs(attr.extract_params(ev.fill_user_id(raw)))
     layout, top = sliced.choose_layout(df, cfg.window_layout, ["user_pseudo_id"],
                                        cfg.skew_threshold_rows)
     df = sliced.record_max_rows(df, top)
@@ -58,9 +60,7 @@ def events_mart(raw: DataFrame, cfg: MartConfig = MartConfig(), flat: bool = Fal
         df = ev.with_url_parts(df, "page_url", cfg.clean_path)
         df = ev.page_navigation(df)
         df = ev.event_sequence(df)
-    df = df.withColumns({
-        "id": F.col("event_id"),
-        "event_hour_of_day_utc": hour_from_micros(F.col("_event_micros")),
-        "page": F.col("page_path"),
-    })
-    return df.select(*ev.EVENT_COLUMNS)
+    df = attr.resolve_traffic_fields(df)
+    df = attr.add_templates(df)
+    df = attr.resolve_channel(df, cfg.not_set)
+    return ev.finish_columns(df)
