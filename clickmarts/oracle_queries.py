@@ -218,3 +218,11 @@ ORACLE["src_prefer_daily"] = with_r(
     "SELECT event_id AS event_bundle_sequence_id, "
     "CASE WHEN date_tz = (SELECT max(date_tz) FROM e5) THEN 'daily' ELSE is_streaming END AS is_streaming, "
     "date_tz FROM e5")
+
+ORACLE["stream_sessions_complete"] = with_r(
+    f"SELECT {skey('user_pseudo_id', 'g')} AS session_id, make_timestamp((g // 86400) * 86400000000) AS window_start, "
+    "user_pseudo_id, count(*) AS events, CAST(count_if(event_name = 'page_view') AS BIGINT) AS page_views, "
+    "sum(p_msec) / 1000 AS engaged_seconds, make_timestamp(min(ets)) AS first_event_at_utc, "
+    "make_timestamp(max(ets)) AS last_event_at_utc "
+    "FROM (SELECT *, coalesce(p_gsid, CAST(left(CAST(ets AS VARCHAR), 10) AS BIGINT)) AS g FROM e0) "
+    "GROUP BY ALL")
