@@ -131,3 +131,25 @@ def prefer_daily(df: DataFrame) -> DataFrame:
     daily_days = df.where(F.col("is_streaming") == "daily").select("date_tz").distinct()
     intraday = df.where(F.col("is_streaming") == "streaming").join(daily_days, "date_tz", "left_anti")
     return df.where(F.col("is_streaming") == "daily").unionByName(intraday)
+
+
+def read_export(spark: SparkSession, properties: Iterable[Property], cfg=None, *,
+                preview: bool = False, today: Optional[_dt.date] = None,
+                max_day: Optional[_dt.date] = None) -> DataFrame:
+    """The events mart's input: all properties, bounded, unioned and tagged.
+
+    The preview bound applies on a preview run or whenever ``cfg.dag_max_days``
+    is set (as in the reference); the incremental bound applies when the
+    target's newest partition ``max_day`` is given.  Both are literal
+    predicates on the shard suffix, so unread shards are pruned per property
+    before the union.
+    """
+    from clickmarts.config import MartConfig
+    cfg = cfg or MartConfig()
+
+    def bound(df: DataFrame) -> DataFrame:
+        if preview or cfg.dag_max_days is not None:
+            df = preview_bound(df, today or _dt.date.today(), cfg.dag_max_days, cfg.preview_days)
+        return incremental_bound(df, max_day, cfg.incremental_refresh_days)
+
+    return tag_shard(union_properties(spark, properties, bound))
