@@ -51,3 +51,18 @@ def test_no_python_udf_in_marts(spark, export):
     ev = events_mart(read_export(spark, export, cfg), cfg)
     plan = _plan(sessions_mart(ev, cfg))
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_day_filter_on_exploding_views_prunes_partitions(spark, export):
+    from pyspark.sql import functions as F
+
+    from clickmarts.operators.event_params import event_params_mart
+    from clickmarts.operators.products import products_mart
+    from clickmarts.sources.sinks import read_partitions, write_partitions
+    cfg = MartConfig(window_layout="user")
+    table = scratch_path(spark, "t-plan-events")
+    write_partitions(events_mart(read_export(spark, export, cfg), cfg), table)
+    events = read_partitions(spark, table)
+    for view in (event_params_mart(events), products_mart(events)):
+        plan = _plan(view.where(F.col("date_tz") >= F.lit(dt.date(2024, 1, 25))))
+        assert re.search(r"PartitionFilters: \[[^\]]*date_tz", plan), plan[:2000]
