@@ -679,3 +679,19 @@ def q_src_prefer_daily(spark, sf_dir):
         .withColumn("is_streaming", F.lit("daily"))
     kept = prefer_daily(raw.unionByName(daily_copy))
     return kept.select("event_bundle_sequence_id", "is_streaming", "date_tz")
+
+
+SPLIT = MartConfig(window_layout="auto", skew_threshold_rows=10)
+
+
+@register("events_mart_split")
+def q_events_mart_split(spark, sf_dir):
+    """'auto' with a threshold of 10 events: heavy users go through the sliced
+    windows, the rest (e.g. anonymous one-event users) through per-user ones."""
+    return flat(r_events(spark, sf_dir, SPLIT))
+
+
+@register("sessions_mart_split")
+def q_sessions_mart_split(spark, sf_dir):
+    """Sessions over split events, with the last-non-direct window split the same way."""
+    return r_sessions(spark, sf_dir, SPLIT)

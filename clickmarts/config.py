@@ -69,8 +69,9 @@ class MartConfig:
     # (user, time slice) and corrects from per-slice summaries, so a hot user
     # or session is spread over many tasks (its inputs are written once to
     # the checkpoint folder, a second pass over them is needed).  "auto"
-    # counts rows per user first (a narrow aggregate) and slices only when
-    # some user holds more than ``skew_threshold_rows``.  Same results.
+    # counts rows per user first (a narrow aggregate); users holding more than
+    # ``skew_threshold_rows`` go through the sliced windows, all others
+    # through the per-user ones, and the results are unioned.  Same results.
     window_layout: str = "auto"
     skew_threshold_rows: int = 10_000_000
     slice_seconds: int = 3600

@@ -161,18 +161,25 @@ def last_non_direct(sessions: DataFrame, layout: str = "auto",
     own = F.struct(F.col("session_id").alias("id"), F.col("start").alias("start"))
     candidate = F.when(direct, F.lit(None)).otherwise(own)
     from clickmarts.operators import sliced
+
+    def per_user(df: DataFrame) -> DataFrame:
+        w = (Window.partitionBy("user_pseudo_id")
+             .orderBy(F.col("attr.session_start_at_utc"), F.col("session_id"))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.withColumn("lnd", F.coalesce(F.last(candidate, ignorenulls=True).over(w), own))
+
+    def sliced_(df: DataFrame) -> DataFrame:
+        return sliced.last_non_direct(sliced.materialize(df, "session-rollup"), candidate, own,
+                                      slice_seconds)
+
     # Sessions per user never exceed events per user: a bound recorded by the
     # events mart (column metadata) avoids a second count.
-    chosen, _ = sliced.choose_layout(sessions, layout, ["user_pseudo_id"], threshold,
-                                     bound=sliced.known_max_rows(sessions))
-    if chosen == "sliced":
-        rolled = sliced.materialize(sessions, "session-rollup")
-        return sliced.last_non_direct(rolled, candidate, own, slice_seconds)
-    w = (Window.partitionBy("user_pseudo_id")
-         .orderBy(F.col("attr.session_start_at_utc"), F.col("session_id"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    last = F.last(candidate, ignorenulls=True).over(w)
-    return sessions.withColumn("lnd", F.coalesce(last, own))
+    chosen, _, hot = sliced.plan_layout(sessions, layout, "user_pseudo_id", threshold,
+                                        bound=sliced.known_max_rows(sessions))
+    if chosen == "split":
+        normal, hot_rows = sliced.split_by_keys(sessions, hot, "user_pseudo_id")
+        return per_user(normal).unionByName(sliced_(hot_rows))
+    return sliced_(sessions) if chosen == "sliced" else per_user(sessions)
 
 
 def _attributed(prefix: str, rec: Column) -> list:

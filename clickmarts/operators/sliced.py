@@ -41,22 +41,6 @@ def known_max_rows(df: DataFrame, col: str = "user_pseudo_id"):
     return meta.get(MAX_ROWS_META)
 
 
-def choose_layout(df: DataFrame, layout: str, keys, threshold: int, bound=None) -> tuple:
-    """Resolve ``"auto"``: slice only if some key holds more than ``threshold`` rows.
-
-    One narrow aggregate (the key columns only, partially aggregated before
-    its shuffle); the driver receives a single number.  A known upper
-    ``bound`` (e.g. events per user when sessions are keyed by user) skips
-    the count.  Returns (layout, max rows per key or None).
-    """
-    if layout != "auto":
-        return layout, None
-    if bound is not None and bound <= threshold:
-        return "user", bound
-    top = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()[0]
-    return ("sliced" if top is not None and top > threshold else "user"), top
-
-
 def record_max_rows(df: DataFrame, top, col: str = "user_pseudo_id") -> DataFrame:
     """Attach the per-user row maximum to the user column's metadata."""
     if top is None:
@@ -64,6 +48,38 @@ def record_max_rows(df: DataFrame, top, col: str = "user_pseudo_id") -> DataFram
     return df.withMetadata(col, {**df.schema[col].metadata, MAX_ROWS_META: int(top)})
 
 
+# Hot keys are at most total_rows / threshold; below this count the key list
+# is broadcast (a proven size bound), above it the join is left to AQE.
+BROADCAST_HOT_KEYS_MAX = 200_000
+
+
+def plan_layout(df: DataFrame, layout: str, key: str, threshold: int, bound=None):
+    """Resolve ``"auto"`` into "user" or "split" (hot keys sliced, others per key).
+
+    Returns (layout, max rows per key or None, hot-key DataFrame or None).
+    One narrow aggregate over the key column; the driver receives two
+    numbers (the maximum and how many keys exceed ``threshold``).  A known
+    upper ``bound`` at or below the threshold skips the count.
+    """
+    if layout != "auto":
+        return layout, None, None
+    if bound is not None and bound <= threshold:
+        return "user", bound, None
+    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    top, n_hot = counts.agg(F.max("_n"), F.count_if(F.col("_n") > F.lit(threshold))).first()
+    if not n_hot:
+        return "user", top, None
+    hot = counts.where(F.col("_n") > F.lit(threshold)).select(key)
+    if n_hot <= BROADCAST_HOT_KEYS_MAX:
+        hot = F.broadcast(hot)
+    return "split", top, hot
+
+
+def split_by_keys(df: DataFrame, hot: DataFrame, key: str):
+    """(rows of other keys, rows of hot keys): anti / semi joins on the hot-key list."""
+    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 

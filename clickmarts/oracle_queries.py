@@ -226,3 +226,5 @@ ORACLE["stream_sessions_complete"] = with_r(
     "make_timestamp(max(ets)) AS last_event_at_utc "
     "FROM (SELECT *, coalesce(p_gsid, CAST(left(CAST(ets AS VARCHAR), 10) AS BIGINT)) AS g FROM e0) "
     "GROUP BY ALL")
+ORACLE["events_mart_split"] = ORACLE["events_mart"]
+ORACLE["sessions_mart_split"] = ORACLE["sessions_mart"]

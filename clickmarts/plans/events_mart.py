@@ -25,7 +25,27 @@ def prepare_events(raw: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
     return ev.flatten_records(df)
 
 
-def events_mart(raw: DataFrame, cfg: MartConfig = MartConfig(), flat: bool = False) -> DataFrame:
+def _windows(df: DataFrame, layout: str, cfg: MartConfig) -> DataFrame:
+    """W1-W4 (+ session key and URL parts) in the chosen layout."""
+    if layout == "sliced":
+        df = sliced.materialize(df, "prepared-events")
+        if cfg.id_scope == "scan":
+            df = sliced.rank_events(df, cfg.slice_seconds)
+        else:
+            df = ev.rank_events(df, cfg.id_scope)  # keyed by (user, instant): no hot partition
+        df = sliced.backfill_session_id(df, cfg.session_length_seconds)
+        df = sliced.materialize(ev.add_session_key(df), "sessionised-events")
+        df = ev.with_url_parts(df, "page_url", cfg.clean_path)
+        return sliced.navigation_and_sequence(df, cfg.slice_seconds)
+    df = ev.rank_events(df, cfg.id_scope)
+    df = ev.backfill_session_id(df, cfg.session_length_seconds)
+    df = ev.add_session_key(df)
+    df = ev.with_url_parts(df, "page_url", cfg.clean_path)
+    df = ev.page_navigation(df)
+    return ev.event_sequence(df)
+
+
+def events_mart(raw: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
     """All 86 event columns (P16 order).
 
     ``window_layout="user"``: one hash exchange on ``user_pseudo_id`` serves
@@ -33,33 +53,22 @@ def events_mart(raw: DataFrame, cfg: MartConfig = MartConfig(), flat: bool = Fal
     navigation windows (W3, W4).  ``"sliced"``: the same results from windows
     over (user, time slice) partitions plus small per-slice summaries, so no
     task ever holds all events of one user or session.  ``"auto"`` (default)
-    picks "sliced" only when a user exceeds ``cfg.skew_threshold_rows``.
+    counts events per user once; users above ``cfg.skew_threshold_rows`` go
+    through the sliced windows, all others through the per-user ones, and
+    the two results are unioned (exact: every window is per user or finer).
 
     The windows run on the raw row plus the few columns they read; the
     row-local attribution (P2-P10) and flattening (P11) are applied after
     them, so shuffles and sorts do not carry the derived fields.
     """
     df = ev.window_inputs(attr.extract_params(ev.fill_user_id(raw)))
-    layout, top = sliced.choose_layout(df, cfg.window_layout, ["user_pseudo_id"],
-                                       cfg.skew_threshold_rows)
-    df = sliced.record_max_rows(df, top)
-    if layout == "sliced":
-        df = sliced.materialize(df, "prepared-events")
-        if cfg.id_scope == "scan":
-            df = sliced.rank_events(df, cfg.slice_seconds)
-        else:
-            df = ev.rank_events(df, cfg.id_scope)  # keyed by (user, instant): no hot partition
-        df = sliced.backfill_session_id(df, cfg.session_length_seconds)
-        df = sliced.materialize(ev.add_session_key(df), "sessionised-events")
-        df = ev.with_url_parts(df, "page_url", cfg.clean_path)
-        df = sliced.navigation_and_sequence(df, cfg.slice_seconds)
+    layout, top, hot = sliced.plan_layout(df, cfg.window_layout, "user_pseudo_id",
+                                          cfg.skew_threshold_rows)
+    if layout == "split":
+        normal, hot_rows = sliced.split_by_keys(df, hot, "user_pseudo_id")
+        df = _windows(normal, "user", cfg).unionByName(_windows(hot_rows, "sliced", cfg))
     else:
-        df = ev.rank_events(df, cfg.id_scope)
-        df = ev.backfill_session_id(df, cfg.session_length_seconds)
-        df = ev.add_session_key(df)
-        df = ev.with_url_parts(df, "page_url", cfg.clean_path)
-        df = ev.page_navigation(df)
-        df = ev.event_sequence(df)
+        df = _windows(sliced.record_max_rows(df, top) if layout == "user" else df, layout, cfg)
     df = attr.resolve_traffic_fields(df)
     df = attr.add_templates(df)
     df = attr.resolve_channel(df, cfg.not_set)
