@@ -105,9 +105,15 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
     region = spark.read.parquet(f"{sf_dir}/region.parquet")
-    n_pages = pages.count()  # one scalar; the join key is event_id mod this
-
-    pg = dense_index(pages, "page_id", "rn")
+    # One aggregate (a few scalars to the driver): the join key is event_id mod
+    # the page count, and when page ids are exactly 0..n-1 a page's position
+    # is its id, so the distributed positional index is only built otherwise.
+    n_pages, n_ids, lo, hi = pages.agg(
+        F.count(F.lit(1)), F.count_distinct("page_id"), F.min("page_id"), F.max("page_id")).first()
+    if n_pages and n_ids == n_pages and lo == 0 and hi == n_pages - 1:
+        pg = pages.withColumn("rn", F.col("page_id"))
+    else:
+        pg = dense_index(pages, "page_id", "rn")
     b = events.select(
         "event_id", F.col("user_id").alias("uid"), F.col("value").alias("v"), "event_type",
         F.get_json_object("props", "$.k").cast("long").alias("k"),
