@@ -208,12 +208,16 @@ def assemble_sessions(rolled: DataFrame, lookback_days=90) -> DataFrame:
         use_lnd = use_lnd & (days_between(lnd["session_start_at_utc"], s["session_start_at_utc"])
                              <= F.lit(lookback_days))
     chosen = F.when(use_lnd, lnd).otherwise(s)
+    # id and user_pseudo_id are the grouping keys themselves (equal to the
+    # start row's values), so the output keeps the known partitioning by user
+    # and a users rollup in the same job needs no further exchange.
     kept = [
         F.col("session_id").alias("id"),
         s["session_start_at_utc"].alias("session_start_at_utc"),
         s["date_tz"].alias("date_tz"),
         date_of(s["session_start_at_utc"]).alias("session_start_on_utc"),
-    ] + [s[c].alias(c) for c in SESSION_KEPT[4:]]
+        F.col("user_pseudo_id"),
+    ] + [s[c].alias(c) for c in SESSION_KEPT[5:]]
     last = ([s["landing_page"].alias("last_landing_page"),
              s["landing_page_query"].alias("last_landing_page_query")]
             + _attributed("last_", F.col("attr"))[2:])

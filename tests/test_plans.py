@@ -35,6 +35,14 @@ def test_events_and_sessions_share_one_exchange(spark, export):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_users_rollup_adds_no_exchange(spark, export):
+    from clickmarts.operators.users import users_rollup
+    cfg = MartConfig(window_layout="user")
+    ev = events_mart(read_export(spark, export, cfg), cfg)
+    plan = _plan(users_rollup(sessions_mart(ev, cfg)))
+    assert len(re.findall(r"Exchange hashpartitioning", plan)) == 1
+
+
 def test_bounds_prune_partitions_and_columns(spark, export):
     cfg = MartConfig(window_layout="user", dag_max_days=2)
     raw = read_export(spark, export, cfg, preview=True, today=dt.date(2024, 1, 20))
