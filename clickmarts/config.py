@@ -72,6 +72,9 @@ class MartConfig:
     # counts rows per user first (a narrow aggregate); users holding more than
     # ``skew_threshold_rows`` go through the sliced windows, all others
     # through the per-user ones, and the results are unioned.  Same results.
+    # Drop intraday rows of days that also have a daily shard (the reference
+    # keeps both, doubling such days).
+    prefer_daily: bool = False
     window_layout: str = "auto"
     skew_threshold_rows: int = 10_000_000
     slice_seconds: int = 3600

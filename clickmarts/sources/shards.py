@@ -152,4 +152,5 @@ def read_export(spark: SparkSession, properties: Iterable[Property], cfg=None, *
             df = preview_bound(df, today or _dt.date.today(), cfg.dag_max_days, cfg.preview_days)
         return incremental_bound(df, max_day, cfg.incremental_refresh_days)
 
-    return tag_shard(union_properties(spark, properties, bound))
+    tagged = tag_shard(union_properties(spark, properties, bound))
+    return prefer_daily(tagged) if cfg.prefer_daily else tagged

@@ -83,3 +83,39 @@ def test_read_export_bounds_and_tags(spark):
     inc = read_export(spark, props, max_day=dt.date(2024, 1, 30))
     assert {r[0] for r in inc.select("date_tz").distinct().collect()} == {
         dt.date(2024, 1, d) for d in range(27, 31)}
+
+
+def test_refresh_products_and_reference_lookback(spark):
+    from clickmarts.config import MartConfig
+    from clickmarts.plans.incremental import refresh_products
+    from clickmarts.sources.fixtures import raw_orders
+    cfg = stable_ids(MartConfig(window_layout="user"))
+    landing = scratch_path(spark, "t-orders-landing")
+    raw_orders(spark, SF).write.partitionBy("table_suffix").parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    events = scratch_path(spark, "t-orders-events")
+    refresh_events(spark, lambda: spark.read.schema(schema).parquet(landing), events, cfg)
+    products = scratch_path(spark, "t-products")
+    assert refresh_products(spark, events, products, cfg) is None
+    full = _rows(read_partitions(spark, products), ["event_specific_item_id", "date_tz"])
+    first = refresh_products(spark, events, products, cfg)
+    assert first is not None
+    assert _rows(read_partitions(spark, products), ["event_specific_item_id", "date_tz"]) == full
+
+
+def test_reference_lookback_scan_rewrites_the_same_sessions(spark):
+    """lookback_scan='reference' reads only the refresh window (capped lookback):
+    same sessions rewritten, attribution possibly from a shorter history."""
+    cfg = stable_ids()
+    landing = scratch_path(spark, "t-lb-landing")
+    raw_events(spark, SF).write.partitionBy("table_suffix").parquet(landing)
+    schema = spark.read.parquet(landing).schema
+    events = scratch_path(spark, "t-lb-events")
+    refresh_events(spark, lambda: spark.read.schema(schema).parquet(landing), events, cfg)
+    full, capped = scratch_path(spark, "t-lb-full"), scratch_path(spark, "t-lb-capped")
+    for target in (full, capped):
+        refresh_sessions(spark, events, target, cfg)
+    refresh_sessions(spark, events, full, cfg, lookback_scan="full")
+    first = refresh_sessions(spark, events, capped, cfg, lookback_scan="reference")
+    ids = lambda p: _rows(read_partitions(spark, p).where(F.col("date_tz") >= F.lit(first)), ["id"])
+    assert ids(full) == ids(capped) and len(ids(full)) > 0
