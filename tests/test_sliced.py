@@ -75,3 +75,34 @@ def test_sliced_fixture_matches(spark):
     a = r_events(spark, "/root/testdata/sf0.001", MartConfig(window_layout="user")).select(*cols)
     b = r_events(spark, "/root/testdata/sf0.001", MartConfig(window_layout="sliced")).select(*cols)
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_one_user_with_a_third_of_all_rows(spark):
+    """A bot owning ~1/3 of the events: all layouts agree, and the split layout
+    sends only the bot through the sliced windows."""
+    from clickmarts.catalog import r_raw
+    from clickmarts.operators import sliced
+    raw = r_raw(spark, "/root/testdata/sf0.001").withColumn(
+        "user_pseudo_id",
+        F.when(F.col("event_bundle_sequence_id") % 3 == 0, F.lit("bot")).otherwise(F.col("user_pseudo_id")))
+    n_bot = raw.where(F.col("user_pseudo_id") == "bot").count()
+    assert n_bot * 3 >= raw.count() - 3
+    # the bot's events spread over many (user, hour) slices
+    slices = raw.where(F.col("user_pseudo_id") == "bot").select(
+        sliced.slice_of(F.col("event_timestamp"), 3600).alias("s")).distinct().count()
+    assert slices > 100
+    cols = ["id", "session_id", "ga_session_id", "event_sequence", "page_sequence",
+            "previous_page_event_id", "prev_prev_page_path", "next_next_page_path", "is_exit",
+            "seconds_on_page"]
+    out = {}
+    for name, cfg in (("user", MartConfig(window_layout="user")),
+                      ("split", MartConfig(window_layout="auto", skew_threshold_rows=100)),
+                      ("sliced", MartConfig(window_layout="sliced"))):
+        ev = events_mart(raw, cfg)
+        s = sessions_mart(ev, cfg)
+        out[name] = (sorted(map(tuple, ev.select(*cols).collect())),
+                     sorted(map(tuple, s.select("id", "last_non_direct_source", "page_views",
+                                                "event_count").collect())))
+    assert out["user"] == out["split"] == out["sliced"]
+    layout, _, hot = sliced.plan_layout(raw, "auto", "user_pseudo_id", 100)
+    assert layout == "split" and [r[0] for r in hot.collect()] == ["bot"]
