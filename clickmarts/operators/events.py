@@ -8,10 +8,10 @@ specs then differ only in their sort.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickmarts.config import NOT_SET, SEQUENCE_EXCLUDED_EVENTS, SESSION_LENGTH_SECONDS
+from clickmarts.config import SEQUENCE_EXCLUDED_EVENTS, SESSION_LENGTH_SECONDS
 from clickmarts.functions.keys import surrogate_key
 from clickmarts.functions.timeparts import engagement_seconds, seconds_from_micros
 from clickmarts.functions.urls import clean_page_path, url_part

@@ -20,8 +20,7 @@ from clickmarts.config import (DIRECT_SOURCE, MEDIUM_PRIORITY_NONE, MEDIUM_PRIOR
                                NOT_SET)
 from clickmarts.functions.params import param, param_entry, param_keys
 from clickmarts.functions.timeparts import date_of, days_between, duration_seconds
-from clickmarts.operators.attribution import (CLICK_ID_FIELDS, GOOGLE_ADS_FIELDS, PMAX_FIELDS,
-                                              TRAFFIC_SOURCE_FIELDS)
+from clickmarts.operators.attribution import CLICK_ID_FIELDS, GOOGLE_ADS_FIELDS, PMAX_FIELDS
 
 # Session dimensions defaulted to the slug (P12): (output, events-mart column).
 DEFAULTED_DIMENSIONS = (

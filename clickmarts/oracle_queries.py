@@ -19,11 +19,8 @@ ORACLE["users_rollup_fanout"] = users_sql(fanout=True)
 ORACLE["products_mart"] = PRODUCTS_SQL
 ORACLE["event_params_mart"] = EVENT_PARAMS_SQL
 
-from clickmarts.oracle import (ATTR_SQL, ITEM_SQL, NS, O_CTES, S_CTES, item_rows_select,  # noqa: E402
-                               part, sessions_select, skey, slash, up, users_select, with_o,
-                               with_r)
-from clickmarts.operators.attribution import (CLICK_ID_URL_FIELDS, GOOGLE_ADS_URL_FIELDS,  # noqa: E402
-                                              HOTEL_URL_FIELDS, PMAX_URL_FIELDS)
+from clickmarts.oracle import (S_CTES, item_rows_select, part, skey, slash, up,  # noqa: E402
+                               users_select, with_o, with_r)
 from clickmarts.oracle import _events_flat_exprs  # noqa: E402
 
 _EV = dict(_events_flat_exprs())
