@@ -55,10 +55,12 @@ def refresh_on_batch(read_raw: Callable[[], DataFrame], target: str,
                       if r[0] is not None)
         if not days:
             return
-        lo = days[0] - dt.timedelta(days=padding_days)
-        hi = days[-1] + dt.timedelta(days=padding_days)
+        # Only the touched days and their padding are read (an IN list on the
+        # shard suffix, pruned at listing time), not every day in between.
+        wanted = sorted({(d + dt.timedelta(days=k)).strftime("%Y%m%d")
+                         for d in days for k in range(-padding_days, padding_days + 1)})
         day = F.right(F.col(SUFFIX_COL), F.lit(8))
-        raw = read_raw().where(day.between(F.lit(lo.strftime("%Y%m%d")), F.lit(hi.strftime("%Y%m%d"))))
+        raw = read_raw().where(day.isin(*wanted))
         mart = events_mart(tag_shard(raw), cfg)
         write_partitions(mart.where(F.col("date_tz").isin(*days)), target)
 
