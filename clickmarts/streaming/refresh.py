@@ -45,9 +45,17 @@ def prepare_stream(stream: DataFrame, cfg: MartConfig = MartConfig()) -> DataFra
     return prepare_events(tag_shard(stream), cfg)
 
 
+STREAM_CONFIG = MartConfig(id_scope="instant")
+
+
 def refresh_on_batch(read_raw: Callable[[], DataFrame], target: str,
-                     cfg: MartConfig = MartConfig(), padding_days: int = 1):
-    """A ``foreachBatch`` function that rewrites the days a batch touched."""
+                     cfg: MartConfig = STREAM_CONFIG, padding_days: int = 1):
+    """A ``foreachBatch`` function that rewrites the days a batch touched.
+
+    The default config uses instant-scoped event ids: a day may be re-derived
+    by several batches with different neighbouring days read, and
+    scan-scoped ids would then change from one rewrite to the next.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         # Distinct days of the batch: one row per touched day (a small, bounded list).
