@@ -74,6 +74,9 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    # Shuffle files of a finished step go when the driver's garbage collector finds the step
+    # unused; long jobs would otherwise keep those of all their steps on disk.
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -126,9 +129,15 @@ def probe(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (table[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63)) & np.uint64(1)).astype(bool)
 
 
+def probed(hashes, shared):
+    """Column: whether the bit of a hash (long column) is set."""
+    @F.pandas_udf("boolean")
+    def hit(values: pd.Series) -> pd.Series:
+        return pd.Series(probe(shared.value, values.to_numpy().view(np.uint64)))
+    return hit(hashes)
+
+
 def keep_probed(df: DataFrame, column: str, shared, found: bool = True) -> DataFrame:
     """Rows whose hash (a long) has its bit set, or with ``found=False`` the others."""
-    @F.pandas_udf("boolean")
-    def hit(hashes: pd.Series) -> pd.Series:
-        return pd.Series(probe(shared.value, hashes.to_numpy().view(np.uint64)) == found)
-    return df.where(hit(F.col(column)))
+    hit = probed(F.col(column), shared)
+    return df.where(hit if found else ~hit)
