@@ -77,7 +77,17 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     # Shuffle files of a finished step go when the driver's garbage collector finds the step
     # unused; long jobs would otherwise keep those of all their steps on disk.
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of materialized tables that no later step reads."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:

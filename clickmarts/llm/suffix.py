@@ -5,17 +5,23 @@ from __future__ import annotations
 import numpy as np
 
 
-def suffix_array(symbols: np.ndarray, depth: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def suffix_array(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array of ``symbols`` and the rank (group number) of every suffix.
 
-    Larsson-Sadakane: suffixes are grouped by their first ``h`` symbols, each
+    Larsson-Sadakane: suffixes are grouped by their first ``h`` symbols (at first as many
+    as one key holds), each
     group numbered by its first slot; every round sorts the members of the groups
     that are still tied by the group ``h`` symbols further on, and doubles ``h``.
-    Sorted groups drop out.  With ``depth``, it stops as soon as groups agree in
-    at least ``depth`` symbols; suffixes of equal rank are then tied."""
+    Sorted groups drop out."""
     n = len(symbols)
-    sa = np.argsort(symbols, kind="stable")
-    key = symbols[sa]
+    bits = (int(symbols.max(initial=0)) + 1).bit_length()
+    h = max(1, 62 // bits)  # symbols that fit one key, none beyond the end
+    key = np.zeros(n, np.int64)
+    for i in range(h):
+        key <<= bits
+        key[:max(0, n - i)] += symbols[i:] + 1
+    sa = np.argsort(key, kind="stable")
+    key = key[sa]
     rank = np.empty(n, np.int64)
     if not n:
         return sa, rank
@@ -28,8 +34,7 @@ def suffix_array(symbols: np.ndarray, depth: int | None = None) -> tuple[np.ndar
         return slots[tied]
 
     slots = regroup(np.arange(n), sa, np.r_[True, key[1:] != key[:-1]])
-    h = 1
-    while len(slots) and (depth is None or h < depth):
+    while len(slots):
         members = sa[slots]
         ahead = members + h
         key = rank[members] * (n + 1) + np.where(ahead < n, rank[np.minimum(ahead, n - 1)] + 1, 0)
