@@ -56,12 +56,25 @@ def containment(hashes_a: Column, hashes_b: Column) -> Column:
     return F.size(F.array_intersect(hashes_a, hashes_b)) / F.nullif(F.size(hashes_a), F.lit(0))
 
 
-def with_next(rows: DataFrame, columns: list[str], order: list[Column], partitions: int) -> DataFrame:
-    """``rows`` with struct ``next`` of ``columns`` of the following row, cyclic.
-
-    One range shuffle puts neighbours together; only the first row of each of the
-    ``partitions`` ranges goes from one range to the one before."""
-    ranged = rows.repartitionByRange(partitions, *order).withColumn("_range", F.spark_partition_id())
+def range_number(key: Column, bounds: list) -> Column:
+    """How many of ``bounds`` (falling) are above ``key``, by binary search; nulls after all."""
+    steps = [1 << k for k in reversed(range(max(1, len(bounds)).bit_length()))]
+    table = F.array(*[F.lit(b) for b in bounds]).cast("array<long>")
+    found = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, s: F.when(
+        (at + s <= len(bounds)) & (F.get(table, at + s - 1) > key), at + s).otherwise(at))
+    return F.when(key.isNull(), len(bounds) + 1).otherwise(found)
+
+
+def with_next(rows: DataFrame, columns: list[str], key: str, ties: list[Column], partitions: int) -> DataFrame:
+    """``rows`` with struct ``next`` of ``columns`` of the row that follows by falling ``key``
+    (nulls last), then ``ties``; cyclic.
+
+    The driver gets ``partitions`` percentiles of the key.  One shuffle puts each of
+    their ranges in one place; only the first row of a range goes to the one before."""
+    cuts = [i / partitions for i in range(1, partitions)]
+    bounds = rows.agg(F.percentile_approx(key, cuts, 10 * max(partitions, 1000)).alias("b")).first()["b"] if cuts else None
+    ranged = rows.withColumn("_range", range_number(F.col(key), sorted(set(bounds or []), reverse=True)))
+    order = [F.col(key).desc_nulls_last(), *ties]
     inside = Window.partitionBy("_range").orderBy(*order)
     placed = ranged.select("*", F.lead(F.struct(*columns)).over(inside).alias("next"),
                            F.row_number().over(inside).alias("_place"))
@@ -77,9 +90,8 @@ def fingerprint_report(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select("doc_id", text.alias("text")).withColumn("hashes", sketch(F.col("text")))
-    order = [F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text")]
-    paired = with_next(rows, ["text", "hashes"], order, partitions)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("hashes", sketch(F.col("text")))
+    paired = with_next(rows, ["text", "hashes"], "doc_id", [F.xxhash64("text"), F.col("text")], partitions)
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half))
