@@ -52,7 +52,7 @@ def url_param(url, name: str) -> Column:
     u = _c(url)
     needle = f"{name}="
     match = F.regexp_substr(u, F.lit(f"{name}=[^&#]+"))
-    return F.when(u.contains(needle), F.substring(match, len(needle) + 1, 1 << 30))
+    return F.when(u.contains(needle), F.substring(match, F.lit(len(needle) + 1), F.length(match)))
 
 
 def url_part(url, part: str) -> Column:

@@ -29,11 +29,11 @@ from clickmarts.sources.sinks import read_partitions, write_partitions
 
 
 def _existing_max_day(spark: SparkSession, path: str) -> Optional[dt.date]:
-    try:
-        df = read_partitions(spark, path)
-    except Exception:  # noqa: BLE001 - no table yet: first (full) build
+    """Newest day of the table; None where there is no table yet (first, full build)."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
         return None
-    return df.agg(F.max("date_tz")).first()[0]
+    return read_partitions(spark, path).agg(F.max("date_tz")).first()[0]
 
 
 def refresh_window(max_day: Optional[dt.date], cfg: MartConfig) -> Optional[dt.date]:
@@ -75,7 +75,10 @@ def refresh_sessions(spark: SparkSession, events_path: str, target: str,
     behaviour, where the lookback is silently capped at the refresh window).
     """
     first = refresh_window(_existing_max_day(spark, target), cfg)
-    extra = (cfg.last_non_direct_lookback or 0) if lookback_scan == "full" else 0
+    # The lookback accepts up to that many whole days, just under one day more by the
+    # clock; a session that began then may have its first events on the day before.
+    lookback = cfg.last_non_direct_lookback or 0
+    extra = lookback + 2 if lookback and lookback_scan == "full" else 0
     scan_from = None if first is None else first - dt.timedelta(days=extra)
     events = read_partitions(spark, events_path, scan_from)
     mart = sessions_mart(events, cfg)

@@ -227,22 +227,15 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORDER_EVENT_NAMES = (("F", "purchase"), ("O", "add_to_cart"), ("P", "page_view"))
-# An export event carries at most this many items; larger orders are split
-# into several events (chunks) so no single row or task gathers an
-# unbounded list.
-MAX_ITEMS_PER_EVENT = 200
-CHUNK_BUNDLE_STRIDE = 1_000_000_000_000
 
 
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O: one commerce event per order; its lines (joined to ``part``) as ``items``.
 
     Lines are grouped per order into the nested ``items`` array, the layout
-    the export itself uses; orders without lines get an empty array.  An
-    order with more than ``MAX_ITEMS_PER_EVENT`` lines is salted into
-    ceil(n / MAX) events by a hash of the line, so a huge order is gathered
-    by many tasks into arrays of about that size (chunk 0 keeps the order key as its
-    bundle id; other chunks are offset by ``CHUNK_BUNDLE_STRIDE``).
+    the export itself uses; orders without lines get an empty array.  An order
+    is one event, whatever its number of lines: an event is one nested row of
+    the export, and splitting it would repeat its revenue.
     """
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
@@ -259,15 +252,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     ], _null("double").alias("item_revenue_in_usd"), qty.alias("quantity"),
         F.col("p_retailprice").alias("price_in_usd"), F.col("p_retailprice").alias("price"))
     joined = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
-    sizes = joined.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("_lines"))
-    chunks = F.floor((F.col("_lines") - F.lit(1)) / F.lit(MAX_ITEMS_PER_EVENT)).cast("long") + F.lit(1)
-    salted = joined.join(sizes, "l_orderkey").withColumn(
-        "_chunk", F.pmod(F.xxhash64("l_partkey", "l_quantity", "p_name"), chunks))
-    lines = (salted.groupBy("l_orderkey", "_chunk")
-             .agg(F.collect_list(item).alias("items"),
-                  F.sum(qty).alias("_qty"), F.count(F.lit(1)).alias("_n")))
+    lines = joined.groupBy("l_orderkey").agg(
+        F.collect_list(item).alias("items"), F.sum(qty).alias("_qty"), F.count(F.lit(1)).alias("_n"))
     o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
-    o = o.withColumn("_chunk", F.coalesce(F.col("_chunk"), F.lit(0)))
 
     status = F.col("o_orderstatus")
     event_name = F.lit(None).cast("string")
@@ -280,7 +267,7 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_params": F.array().cast(T.ArrayType(PARAM_TYPE)),
         "event_previous_timestamp": _null("long"),
         "event_value_in_usd": F.col("o_totalprice"),
-        "event_bundle_sequence_id": F.col("o_orderkey") + F.col("_chunk") * F.lit(CHUNK_BUNDLE_STRIDE),
+        "event_bundle_sequence_id": F.col("o_orderkey"),
         "event_server_timestamp_offset": _null("long"),
         "user_id": _null("string"),
         "user_pseudo_id": F.concat(F.lit("u"), F.col("o_custkey").cast("string")),

@@ -123,13 +123,14 @@ def date_bound(df: DataFrame, first_day: Optional[_dt.date], col: str = "date_tz
 
 
 def prefer_daily(df: DataFrame) -> DataFrame:
-    """Opt-in: drop intraday rows of days that also have a daily shard.
+    """Opt-in: drop intraday rows of days for which the same property has a daily shard.
 
-    The reference keeps both, doubling such days.  Left-anti join on the day;
-    the daily-day list is a distinct over the partition column.
+    The reference keeps both, doubling such days.  Left-anti join on property
+    and day; the list is a distinct over the property and partition columns.
     """
-    daily_days = df.where(F.col("is_streaming") == "daily").select("date_tz").distinct()
-    intraday = df.where(F.col("is_streaming") == "streaming").join(daily_days, "date_tz", "left_anti")
+    keys = [c for c in ("business_unit", "date_tz") if c in df.columns]
+    daily_days = df.where(F.col("is_streaming") == "daily").select(*keys).distinct()
+    intraday = df.where(F.col("is_streaming") == "streaming").join(daily_days, keys, "left_anti").select(*df.columns)
     return df.where(F.col("is_streaming") == "daily").unionByName(intraday)
 
 

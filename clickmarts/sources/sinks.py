@@ -23,6 +23,10 @@ PARTITION_COL = "date_tz"
 def write_partitions(df: DataFrame, path: str, partition_col: str = PARTITION_COL,
                      rebalance: bool = True) -> None:
     """Overwrite only the day partitions present in ``df``."""
+    # Column metadata holds facts about this run (rows per user), not about the table.
+    for field in df.schema.fields:
+        if field.metadata:
+            df = df.withMetadata(field.name, {})
     out = df.hint("rebalance", partition_col) if rebalance else df
     (out.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

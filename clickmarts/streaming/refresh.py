@@ -50,7 +50,8 @@ STREAM_CONFIG = MartConfig(id_scope="instant")
 
 def refresh_on_batch(read_raw: Callable[[], DataFrame], target: str,
                      cfg: MartConfig = STREAM_CONFIG, padding_days: int = 1):
-    """A ``foreachBatch`` function that rewrites the days a batch touched.
+    """A ``foreachBatch`` function that rewrites the days a batch touched and
+    ``padding_days`` on each side, whose navigation and back-fill may look into them.
 
     The default config uses instant-scoped event ids: a day may be re-derived
     by several batches with different neighbouring days read, and
@@ -63,14 +64,16 @@ def refresh_on_batch(read_raw: Callable[[], DataFrame], target: str,
                       if r[0] is not None)
         if not days:
             return
-        # Only the touched days and their padding are read (an IN list on the
-        # shard suffix, pruned at listing time), not every day in between.
-        wanted = sorted({(d + dt.timedelta(days=k)).strftime("%Y%m%d")
-                         for d in days for k in range(-padding_days, padding_days + 1)})
+        # Only these days and the padding of the rewritten ones are read (an IN list on
+        # the shard suffix, pruned at listing time), not every day in between.
+        def around(width: int) -> list:
+            return sorted({d + dt.timedelta(days=k) for d in days for k in range(-width, width + 1)})
+
+        wanted = [d.strftime("%Y%m%d") for d in around(2 * padding_days)]
         day = F.right(F.col(SUFFIX_COL), F.lit(8))
         raw = read_raw().where(day.isin(*wanted))
         mart = events_mart(tag_shard(raw), cfg)
-        write_partitions(mart.where(F.col("date_tz").isin(*days)), target)
+        write_partitions(mart.where(F.col("date_tz").isin(*around(padding_days))), target)
 
     return run
 

@@ -119,3 +119,38 @@ def test_reference_lookback_scan_rewrites_the_same_sessions(spark):
     first = refresh_sessions(spark, events, capped, cfg, lookback_scan="reference")
     ids = lambda p: _rows(read_partitions(spark, p).where(F.col("date_tz") >= F.lit(first)), ["id"])
     assert ids(full) == ids(capped) and len(ids(full)) > 0
+
+
+def test_prefer_daily_keeps_other_properties(spark):
+    import datetime as dt
+
+    from clickmarts.sources.shards import prefer_daily
+    day = dt.date(2024, 1, 1)
+    df = spark.createDataFrame([("a", day, "daily", 1), ("a", day, "streaming", 2), ("b", day, "streaming", 3)],
+                               "business_unit string, date_tz date, is_streaming string, n int")
+    kept = prefer_daily(df)
+    assert kept.columns == df.columns
+    assert sorted(r["n"] for r in kept.collect()) == [1, 3]
+
+
+def test_days_that_land_one_by_one_equal_a_full_build(spark, raw_schema):
+    """Pages of one session on both sides of midnight: the earlier day is rewritten too."""
+    from clickmarts.plans.events_mart import events_mart
+    from clickmarts.sources.fixtures import raw_events
+    from clickmarts.sources.shards import tag_shard
+    from clickmarts.sources.sinks import scratch_path
+    from clickmarts.streaming.refresh import STREAM_CONFIG, refresh_on_batch
+    raw = raw_events(spark, "/root/testdata/sf0.001").cache()
+    days = sorted(r[0] for r in tag_shard(raw).select("date_tz").distinct().collect())[:3]
+    suffixes = [d.strftime("%Y%m%d") for d in days]
+    target, landed = scratch_path(spark, "t1"), []
+    run = refresh_on_batch(lambda: raw.where(F.right("table_suffix", F.lit(8)).isin(*landed)), target)
+    for i, s in enumerate(suffixes):
+        landed.append(s)
+        run(raw.where(F.right("table_suffix", F.lit(8)) == s), i)
+    keys = ["event_id", "next_page_event_id", "is_exit", "seconds_on_page", "event_sequence"]
+    full = events_mart(tag_shard(raw.where(F.right("table_suffix", F.lit(8)).isin(*suffixes))), STREAM_CONFIG)
+    keys = [k for k in keys if k in full.columns]
+    got = spark.read.parquet(target).select(*keys)
+    assert sorted(map(str, got.collect())) == sorted(map(str, full.select(*keys).collect()))
+    raw.unpersist()

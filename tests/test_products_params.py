@@ -35,17 +35,18 @@ def test_event_params_long_form(spark, raw_schema):
     assert ep.where(F.col("id") != F.concat("event_id", "key")).count() == 0
 
 
-def test_huge_order_is_salted_into_bounded_events(spark):
+def test_huge_order_is_one_event(spark):
     import datetime as dt
 
-    from clickmarts.sources.fixtures import MAX_ITEMS_PER_EVENT, raw_orders
+    from clickmarts.sources.fixtures import raw_orders
     from clickmarts.sources.sinks import scratch_path
     base = scratch_path(spark, "t-orders")
     spark.createDataFrame([(1, 7, "F", 10.0, dt.datetime(1995, 1, 1), "1-URGENT"),
-                           (2, 8, "O", 5.0, dt.datetime(1995, 1, 2), "2-HIGH")],
+                           (2, 8, "O", 5.0, dt.datetime(1995, 1, 2), "2-HIGH"),
+                           (3, 8, "F", 6.0, dt.datetime(1995, 1, 2), "2-HIGH")],
                           "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
                           "o_orderdate timestamp_ntz, o_orderpriority string").write.parquet(f"{base}/orders.parquet")
-    lines = [(1, p, 1.0 + p) for p in range(450)] + [(2, 3, 30.0)]
+    lines = [(1, p, 1.0 + p) for p in range(450)] + [(2, 3, 30.0)] + [(3, 3, 30.0)] * 450
     spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_quantity double") \
         .write.parquet(f"{base}/lineitem.parquet")
     spark.createDataFrame([(p, f"n{p}", "B", "T", 1.0) for p in range(450)],
@@ -54,6 +55,4 @@ def test_huge_order_is_salted_into_bounded_events(spark):
     o = raw_orders(spark, base)
     sizes = sorted((r.b, r.n) for r in o.select(F.col("event_bundle_sequence_id").alias("b"),
                                                 F.size("items").alias("n")).collect())
-    big = [n for b, n in sizes if b % 1_000_000_000_000 == 1]
-    assert len(big) == 3 and sum(big) == 450 and max(big) <= 2 * MAX_ITEMS_PER_EVENT
-    assert [n for b, n in sizes if b == 2] == [1]
+    assert sizes == [(1, 450), (2, 1), (3, 450)]
