@@ -65,33 +65,34 @@ def range_number(key: Column, bounds: list) -> Column:
     return F.when(key.isNull(), len(bounds) + 1).otherwise(found)
 
 
-def with_next(rows: DataFrame, columns: list[str], key: str, ties: list[Column], partitions: int) -> DataFrame:
-    """``rows`` with struct ``next`` of ``columns`` of the row that follows by falling ``key``
-    (nulls last), then ``ties``; cyclic.
+def with_next(docs: DataFrame, partitions: int) -> DataFrame:
+    """(doc_id, text, hashes) with struct ``next`` of text and hashes of the document that
+    follows by falling ``doc_id`` (nulls last), then by text; cyclic.
 
-    The driver gets ``partitions`` percentiles of the key.  One shuffle puts each of
-    their ranges in one place; only the first row of a range goes to the one before."""
+    The driver gets ``partitions`` percentiles of the ids.  One shuffle puts each of
+    their ranges in one place; the first text of a range, for the last row of the one
+    before, comes from a partly aggregated minimum."""
     cuts = [i / partitions for i in range(1, partitions)]
-    bounds = rows.agg(F.percentile_approx(key, cuts, 10 * max(partitions, 1000)).alias("b")).first()["b"] if cuts else None
-    ranged = rows.withColumn("_range", range_number(F.col(key), sorted(set(bounds or []), reverse=True)))
-    order = [F.col(key).desc_nulls_last(), *ties]
-    inside = Window.partitionBy("_range").orderBy(*order)
-    placed = ranged.select("*", F.lead(F.struct(*columns)).over(inside).alias("next"),
-                           F.row_number().over(inside).alias("_place"))
-    heads = placed.where("_place = 1").select("_range", F.struct(*columns).alias("head"))
-    over = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    bounds = docs.agg(F.percentile_approx("doc_id", cuts, 10 * max(partitions, 1000)).alias("b")).first()["b"] if cuts else None
+    ranged = docs.withColumn("_range", range_number(F.col("doc_id"), sorted(set(bounds or []), reverse=True)))
+    place = F.struct(F.col("doc_id").isNull(), F.bitwise_not("doc_id"), F.xxhash64("text"), F.col("text"))
+    heads = (ranged.groupBy("_range").agg(F.min_by("text", place).alias("text"))
+             .select("_range", F.struct("text", sketch(F.col("text")).alias("hashes")).alias("head")))
+    whole = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     heads = heads.select("_range", F.coalesce(F.lead("head").over(Window.orderBy("_range")),
-                                              F.first("head").over(over)).alias("head"))
-    last = placed.where("next is null").drop("next").join(heads, "_range").withColumnRenamed("head", "next")
-    return (placed.where("next is not null").unionByName(last)).drop("_range", "_place")
+                                              F.first("head").over(whole)).alias("head"))
+    inside = Window.partitionBy("_range").orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text"))
+    placed = ranged.withColumn("hashes", sketch(F.col("text"))).repartition(partitions, "_range").withColumn(
+        "next", F.lead(F.struct("text", "hashes")).over(inside))
+    return placed.join(heads, "_range").select("doc_id", "text", "hashes", F.coalesce("next", "head").alias("next"))
 
 
 def fingerprint_report(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).withColumn("hashes", sketch(F.col("text")))
-    paired = with_next(rows, ["text", "hashes"], "doc_id", [F.xxhash64("text"), F.col("text")], partitions)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    paired = with_next(rows, partitions)
     n = F.char_length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half))
