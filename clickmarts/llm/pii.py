@@ -77,6 +77,16 @@ def _candidates(text: str):
                 yield *m.span(), "phone", 9 <= sum(c in "0123456789" for c in m[0]) <= 15
 
 
+def _is_whole(text: str, kind: str) -> bool:
+    """Whether a card or phone number holds by itself, whatever digits stand beside it."""
+    digits = re.sub(r"[\x20().-]", "", text.removeprefix("+"))
+    if not (digits.isascii() and digits.isdigit()):
+        return False
+    if kind == "phone":
+        return text[0] in "+(" and 10 <= len(digits) <= 15
+    return kind == "card" and 12 <= len(digits) <= 19 and luhn(digits)
+
+
 def base_spans(text: str) -> list[tuple[int, int, str]]:
     """(start, end, kind), leftmost and without overlap per kind, by start, then kind."""
     return sorted(((a, b, k) for a, b, k, holds in _candidates(text) if holds), key=lambda s: (s[0], KINDS.index(s[2])))
@@ -167,15 +177,21 @@ def labelled_rows(n: int = TRAIN_ROWS, seed: int = 7) -> list[list[tuple[str, st
     def mixed(k):
         return "".join(r.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(k))
 
+    def card(head):
+        """16 digits, the last one their check digit."""
+        body = head + digits(15 - len(head))
+        return next(body + d for d in "0123456789" if luhn(body + d))
+
     def personal():
         end = r.choice(["", "", ".", ","])
+        number = card(r.choice("456"))
         area = r.choice([f"({digits(3)})", digits(3)])
         return r.choice([
             lambda: [(f"{name()}.{digits(2)}@{name()}.example.com{end}", "email")],
             lambda: [(f"{name()}@{name()}.org{end}", "email")],
             lambda: [(".".join(str(r.randint(1, 255)) for _ in range(4)) + end, "ip")],
-            lambda: [(r.choice("456") + digits(15) + end, "card")],
-            lambda: [(digits(4), "card"), (digits(4), "card"), (digits(4), "card"), (digits(4) + end, "card")],
+            lambda: [(number + end, "card")],
+            lambda: [(number[i:i + 4] + end * (i == 12), "card") for i in range(0, 16, 4)],
             lambda: [(f"+{digits(1)}", "phone"), (area, "phone"), (f"{digits(3)}-{digits(4)}{end}", "phone")],
             lambda: [(f"+{digits(11)}{end}", "phone")],
             lambda: [(f"({digits(3)})", "phone"), (f"{digits(3)}-{digits(4)}{end}", "phone")],
@@ -297,16 +313,19 @@ def find_spans(texts: list[str], model: tuple) -> list[tuple[list, list]]:
     base = [base_spans(t) for t in texts]
     own: list[list] = [[] for _ in texts]
     owner, starts, ends, tags = tag_words(texts, model)
-    tagged = np.flatnonzero(tags)
+    tagged = np.array([i for i in np.flatnonzero(tags).tolist()
+                       if not any(starts[i] < y and x < ends[i] for x, y, _ in base[owner[i]])], np.int64)
+    # Words of a secret are secrets of their own; a base span beside a run does not belong to it.
     runs = np.split(tagged, np.flatnonzero((np.diff(tagged) != 1) | (np.diff(tags[tagged]) != 0)
-                                           | (np.diff(owner[tagged]) != 0)) + 1)
+                                           | (np.diff(owner[tagged]) != 0) | (tags[tagged][1:] == TAGS.index("secret"))) + 1)
     for run in runs:
         if len(run):
             doc, kind = int(owner[run[0]]), TAGS[tags[run[0]]]
             a, b = _trimmed(texts[doc], int(starts[run[0]]), int(ends[run[-1]]), kind)
             if b - a >= 6 and not any(a < y and x < b for x, y, _ in base[doc]):
-                # A card, address or phone number that fails its own check stays out.
-                if kind == "secret" or not any(a < y and x < b for x, y, _, holds in _candidates(texts[doc]) if not holds):
+                # What fails a base kind's check stays out, but for a valid number within a longer run of digits.
+                if kind == "secret" or _is_whole(texts[doc][a:b], kind) or kind != "card" and not any(
+                        a < y and x < b for x, y, _, holds in _candidates(texts[doc]) if not holds):
                     own[doc].append((a, b, kind))
     return [(x, sorted(x + y, key=lambda s: (s[0], KINDS.index(s[2])))) for x, y in zip(base, own)]
 
