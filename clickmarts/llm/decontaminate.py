@@ -131,31 +131,39 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def _pass(broadcast):
+def _search(blocks: list, cutting: bool):
+    """One Python worker a task searches all blocks, and cuts the texts where asked."""
     def run(batches):
         for b in pieces(batches, SHARD_ROWS, SHARD_BYTES, "_text"):
-            counts, spans, items = search_shard([t or b"" for t in b.column("_text").to_pylist()], broadcast.value)
-            before, names = b.column("_spans").to_pylist(), b.column("_items").to_pylist()
-            yield replaced(b, _n_words=pa.array(counts, pa.int64()), _spans=pa.array(
-                [merged(np.r_[np.array(x, np.int64), s]).tolist() for x, s in zip(before, spans)], pa.list_(pa.int32())),
-                _items=pa.array([sorted({*x, *y}) for x, y in zip(names, items)], pa.list_(pa.string())))
+            texts = b.column("_text").to_pylist()
+            words = [t or b"" for t in texts]
+            counts, spans, items = search_shard(words, blocks[0].value)
+            for block in blocks[1:]:
+                _, more, names = search_shard(words, block.value)
+                spans = [np.r_[x, y] for x, y in zip(spans, more)]
+                items = [x | y for x, y in zip(items, names)]
+            hit = [merged(x).tolist() for x in spans]
+            columns = {"_n_words": pa.array(counts, pa.int64()), "_spans": pa.array(hit, pa.list_(pa.int32())),
+                       "_items": pa.array([sorted(x) for x in items], pa.list_(pa.string()))}
+            if cutting:
+                columns["_text"] = pa.array([cut(t, x) if x else t for t, x in zip(texts, hit)], pa.binary())
+            yield replaced(b, **columns)
     return run
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
-                       block_words: int = BLOCK_WORDS) -> DataFrame:
-    """The columns of ``docs`` and ``_text`` (bytes), ``_n_words``, ``_spans`` (hit words
-    as flattened half-open pairs, merged) and ``_items`` (names of the items found)."""
+                       block_words: int = BLOCK_WORDS, cutting: bool = False) -> DataFrame:
+    """The columns of ``docs`` and ``_text`` (bytes; with ``cutting`` those left), ``_n_words``,
+    ``_spans`` (hit words as flattened half-open pairs, merged) and ``_items`` (names of the items found)."""
     spark = docs.sparkSession
     out = docs.select("*", F.col("text").cast("binary").alias("_text"), F.lit(0).cast("long").alias("_n_words"),
                       F.array().cast("array<int>").alias("_spans"), F.array().cast("array<string>").alias("_items"))
-    nothing = Block()
-    nothing.add("", [b""])  # no document word is empty: counts words, finds nothing
-    found = False
-    for block in blocks(benchmark, window, block_words):
-        found = True
-        out = out.mapInArrow(_pass(spark.sparkContext.broadcast(block)), out.schema)
-    return out if found else out.mapInArrow(_pass(spark.sparkContext.broadcast(nothing.arrays())), out.schema)
+    shared = [spark.sparkContext.broadcast(block) for block in blocks(benchmark, window, block_words)]
+    if not shared:
+        nothing = Block()
+        nothing.add("", [b""])  # no document word is empty: counts words, finds nothing
+        shared = [spark.sparkContext.broadcast(nothing.arrays())]
+    return out.mapInArrow(_search(shared, cutting), out.schema)
 
 
 def _hits(spans: Column) -> Column:
@@ -188,12 +196,5 @@ def cut(text: bytes, spans: list[int]) -> bytes:
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` with every hit span cut out of ``text``; other texts as they were."""
-    found = find_contamination(docs, benchmark, window)
-
-    def run(batches):
-        for b in batches:
-            yield replaced(b, _text=pa.array(
-                [cut(t, x) if x else t for t, x in zip(b.column("_text").to_pylist(), b.column("_spans").to_pylist())],
-                pa.binary()))
-    out = found.mapInArrow(run, found.schema)
+    out = find_contamination(docs, benchmark, window, cutting=True)
     return out.select(*[F.col("_text").cast("string").alias(c) if c == "text" else F.col(c) for c in docs.columns])
