@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from clickmarts.llm.common import batch, pieces
+from clickmarts.llm.common import batch, pieces, trimmed
 
 #: Fixed value: the byte-level pre-tokenizer's pattern.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -171,4 +171,4 @@ def encode_table(docs: DataFrame, path: str | None = None, ids: bool = False) ->
             yield batch(schema, **columns)
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * ids)
+        trimmed(run), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * ids)

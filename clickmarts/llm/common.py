@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 import zipfile
@@ -102,6 +103,20 @@ def replaced(b: pa.RecordBatch, **columns) -> pa.RecordBatch:
         schema=pa.schema([pa.field(f.name, columns[f.name].type) if f.name in columns else f for f in b.schema]))
 
 
+def trimmed(run):
+    """A batch function that gives its free memory back to the machine at the end: Python
+    workers stay for later stages, and would hold on to it."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+            if trim:
+                trim(0)
+    return wrapped
+
+
 def pieces(batches, max_rows: int, max_bytes: int, column: str = "text"):
     """Cut Arrow batches into slices of at most ``max_rows`` rows and about
     ``max_bytes`` bytes of ``column`` (a longer single row is a slice of its own)."""

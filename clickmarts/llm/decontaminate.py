@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmarts.llm.common import WORD_BYTES, pieces, replaced
+from clickmarts.llm.common import WORD_BYTES, pieces, replaced, trimmed
 from clickmarts.llm.fm_index import FmIndex
 
-#: Words of benchmark windows that one pass broadcasts; more take more passes.
+#: Words of benchmark windows in one broadcast; more take more broadcasts, searched one after another.
 BLOCK_WORDS = 4_000_000
 SHARD_BYTES, SHARD_ROWS = 24 << 20, 1 << 14
 
@@ -163,7 +163,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
         nothing = Block()
         nothing.add("", [b""])  # no document word is empty: counts words, finds nothing
         shared = [spark.sparkContext.broadcast(nothing.arrays())]
-    return out.mapInArrow(_search(shared, cutting), out.schema)
+    return out.mapInArrow(trimmed(_search(shared, cutting)), out.schema)
 
 
 def _hits(spans: Column) -> Column:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmarts.llm.common import batch, materialize, pieces
+from clickmarts.llm.common import batch, materialize, pieces, trimmed
 
 BUCKETS = 1 << 14
 #: Bound of the broadcast matrix: languages times buckets.
@@ -76,7 +76,7 @@ def _count(batches):
 def train(docs: DataFrame) -> dict:
     """Model from all rows of (text, lang) with neither null: languages, matrix, priors."""
     counted = docs.select("text", "lang").where("text is not null and lang is not null").mapInArrow(
-        _count, "lang string, bucket int, n long")
+        trimmed(_count), "lang string, bucket int, n long")
     counts = materialize(counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")), "language-counts")
     limit = MAX_CELLS // BUCKETS
     names = sorted(r[0] for r in counts.where("bucket = -1 and n > 0").select("lang").limit(limit + 1).collect())
@@ -121,7 +121,7 @@ def predict(docs: DataFrame, model: dict, pred: str = "lang_pred", score: str =
                        pa.array([s for _, s in found], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=b.schema.names)
 
-    return out.mapInArrow(run, out.schema)
+    return out.mapInArrow(trimmed(run), out.schema)
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

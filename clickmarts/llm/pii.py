@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmarts.llm.common import batch, pieces
+from clickmarts.llm.common import batch, pieces, trimmed
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 TAGS = ("",) + KINDS
@@ -346,7 +346,7 @@ def pii_report(docs: DataFrame) -> DataFrame:
                         spans=[joined(spans) for _, spans in found])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+        trimmed(run), "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def redacted(text: str, spans) -> str:
@@ -378,4 +378,4 @@ def redact(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [column if i == place else c for i, c in enumerate(b.columns)], names=b.schema.names)
 
-    return out.mapInArrow(run, out.schema)
+    return out.mapInArrow(trimmed(run), out.schema)
