@@ -31,7 +31,7 @@ from clickmarts.llm.fm_index import FmIndex
 
 #: Words of benchmark windows in one broadcast; more take more broadcasts, searched one after another.
 BLOCK_WORDS = 4_000_000
-SHARD_BYTES, SHARD_ROWS = 24 << 20, 1 << 14
+SHARD_BYTES, SHARD_ROWS = 12 << 20, 1 << 14
 
 
 class Block:
