@@ -20,7 +20,7 @@ ORACLE["products_mart"] = PRODUCTS_SQL
 ORACLE["event_params_mart"] = EVENT_PARAMS_SQL
 
 from clickmarts.oracle import (S_CTES, item_rows_select, part, skey, slash, up,  # noqa: E402
-                               users_select, with_o, with_r)
+                               with_o, with_r)
 from clickmarts.oracle import _events_flat_exprs  # noqa: E402
 
 _EV = dict(_events_flat_exprs())
@@ -152,18 +152,19 @@ ORACLE["join_sequences"] = with_r(
 
 # -- session steps ----------------------------------------------------------------------
 ORACLE["first_session_start"] = with_r(
-    "SELECT session_id, event_timestamp_utc AS session_start_at_utc, landing_page, ts_medium AS medium, "
-    "session_number FROM ss", S_CTES)
+    "SELECT session_id, opening.event_timestamp_utc AS session_start_at_utc, opening.landing_page, "
+    "opening.ts_medium AS medium, opening.session_number FROM visits WHERE opening IS NOT NULL", S_CTES)
 ORACLE["session_attribution"] = with_r(
-    "SELECT session_id, event_timestamp_utc AS session_start_at_utc, landing_page, ts_source AS source, "
-    "ts_medium AS medium FROM fa", S_CTES)
+    "SELECT session_id, earliest.event_timestamp_utc AS session_start_at_utc, earliest.landing_page, "
+    "earliest.ts_source AS source, earliest.ts_medium AS medium FROM visits", S_CTES)
 ORACLE["last_non_direct"] = with_r(
-    "SELECT session_id, lnd_id AS last_non_direct_session_id FROM lndid", S_CTES)
+    "SELECT session_id, credited_id AS last_non_direct_session_id FROM credit", S_CTES)
 ORACLE["session_engagement"] = with_r(
-    "SELECT session_id, is_engaged, engaged_seconds, event_count, last_event_at_utc AS session_end_at_utc FROM em",
+    "SELECT session_id, is_engaged, engaged_seconds, event_count, last_event_at_utc AS session_end_at_utc FROM visits",
     S_CTES)
-ORACLE["session_page_views"] = with_r("SELECT session_id, page_views FROM pv", S_CTES)
-ORACLE["distinct_composite_count"] = with_r("SELECT session_id, event_count FROM em", S_CTES)
+ORACLE["session_page_views"] = with_r(
+    "SELECT session_id, page_views FROM visits WHERE page_views IS NOT NULL", S_CTES)
+ORACLE["distinct_composite_count"] = with_r("SELECT session_id, event_count FROM visits", S_CTES)
 ORACLE["session_duration"] = with_sessions(
     "SELECT id, session_start_at_utc, session_end_at_utc, duration_seconds FROM sm")
 ORACLE["source_medium"] = with_sessions(
@@ -173,10 +174,9 @@ ORACLE["join_last_non_direct"] = with_sessions(
     "SELECT id, last_non_direct_landing_page, last_non_direct_source, last_non_direct_medium, "
     "last_non_direct_source_medium, last_non_direct_campaign, last_non_direct_gclid, "
     "last_non_direct_google_ads_customer_id, last_non_direct_fbclid FROM sm", lookback=7)
-_fst, _users_sel = users_select(False)
-ORACLE["first_touch"] = with_sessions(
+ORACLE["first_touch"] = (
     "SELECT id, first_landing_page, first_source, first_medium, first_source_medium, first_gclid, "
-    "first_session_start_at_utc FROM (" + _users_sel + ")", 90, _fst + ",\n")
+    "first_session_start_at_utc FROM (" + users_sql(False) + ")")
 
 # -- products steps -----------------------------------------------------------------------
 ORACLE["filter_ecommerce"] = with_o(
@@ -207,10 +207,9 @@ ORACLE["stream_refresh"] = with_r(
 ORACLE["events_mart_sliced"] = ORACLE["events_mart"]
 ORACLE["sessions_mart_sliced"] = ORACLE["sessions_mart"]
 
-_fst_u, _sel_u = users_select(False)
-ORACLE["users_rollup"] = with_sessions(
+ORACLE["users_rollup"] = (
     "SELECT id, first_session_at_utc, last_session_at_utc, sessions, page_views, total_session_duration, "
-    "total_engaged_seconds, total_events FROM (" + _sel_u + ")", 90, _fst_u + ",\n")
+    "total_engaged_seconds, total_events FROM (" + users_sql(False) + ")")
 ORACLE["src_prefer_daily"] = with_r(
     "SELECT event_id AS event_bundle_sequence_id, "
     "CASE WHEN date_tz = (SELECT max(date_tz) FROM e5) THEN 'daily' ELSE is_streaming END AS is_streaming, "
