@@ -45,8 +45,9 @@ class Bpe:
             spec = json.load(f)
         letters, vocabulary = byte_letters(), spec["model"]["vocab"]
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes = {i: bytes(letters[c] for c in t) for t, i in vocabulary.items()}
-        self.bytes |= {i: t.encode() for t, i in self.added.items()}
+        raw = {i: bytes(letters[c] for c in t) for t, i in vocabulary.items()} | {i: t.encode() for t, i in self.added.items()}
+        self.bytes = np.empty(max(raw) + 1, object)  # by id
+        self.bytes[list(raw)] = list(raw.values())
         self.start = np.zeros(256, np.int64)
         for c, b in letters.items():
             self.start[b] = vocabulary[c]
@@ -111,15 +112,16 @@ class Bpe:
     def _learn(self, words: set[str]) -> None:
         if len(self.kept) > KEPT:
             self.kept.clear()
-        by_size: dict[int, list[tuple[str, bytes]]] = {}
-        for w in words:
-            raw = w.encode()
-            by_size.setdefault(1 << max(0, (len(raw) - 2)).bit_length(), []).append((w, raw))
-        for leaves, group in by_size.items():
-            many = max(1, CELLS // (8 * leaves))
+        words = list(words)
+        raw = [w.encode() for w in words]
+        # Pairs of each word, rounded up to a power of two.
+        leaves = 1 << np.frexp(np.maximum(0, np.array(list(map(len, raw)), np.int64) - 2))[1]
+        for size in np.unique(leaves).tolist():
+            group = np.flatnonzero(leaves == size).tolist()
+            many = max(1, CELLS // (8 * size))
             for i in range(0, len(group), many):
                 part = group[i:i + many]
-                self.kept.update(zip([w for w, _ in part], self._merge([raw for _, raw in part], leaves)))
+                self.kept.update(zip([words[j] for j in part], self._merge([raw[j] for j in part], size)))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Token ids of each text as little-endian unsigned 32-bit integers."""
@@ -130,7 +132,7 @@ class Bpe:
                               for p in self.split.split(t)])
             else:
                 parts.append([self.words.findall(t)])
-        new = {w for text in parts for p in text if isinstance(p, list) for w in p}
+        new = set().union(*[p for text in parts for p in text if isinstance(p, list)])
         if len(self.kept) > KEPT:
             self.kept.clear()
         self._learn(new - self.kept.keys())
@@ -140,7 +142,7 @@ class Bpe:
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 text of token ids; bytes that are not UTF-8 become U+FFFD."""
-        raw = b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        raw = b"".join(self.bytes[np.frombuffer(ids, "<u4")].tolist())
         return raw.decode("utf-8", "replace").encode()
 
 
