@@ -3,7 +3,7 @@
 A page's own rule is the longest that fits its host (or a parent of it) and begins its
 path.  Pages that a redirect (``meta`` refresh) or a canonical link joins are aliases:
 connected components over these edges carry a block to every alias without a rule of
-its own.  An explicit allow of the page itself takes precedence; a page without rule and
+its own, also from a target that is no row.  All such links of a page count.  An explicit allow of the page itself takes precedence; a page without rule and
 without a blocked alias is allowed.
 
 Definitions: null urls and urls without ``://`` have empty host and path, fit no rule and
@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmarts.llm.common import lower_ascii
+from clickmarts.llm.common import lower_ascii, materialize
 from clickmarts.llm.components import components
 
 #: Fixed values of the contract: verdict, host, path.
@@ -64,12 +64,14 @@ def own_rule(host_: Column, path_: Column, rules=RULES) -> tuple[Column, Column]
     return rule, verdict
 
 
-def alias_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): keys of pages and of their redirect and canonical targets."""
-    links = pages.select("url", F.explode(F.array(
-        F.regexp_extract("html", _LINK, 1), F.regexp_extract("html", _REFRESH, 1))).alias("target")).where("target <> ''")
-    return links.select(key(F.col("url")).alias("a"),
-                        key(absolute(F.regexp_replace("target", "&amp;", "&"), F.col("url"))).alias("b"))
+def alias_edges(pages: DataFrame, rules=RULES) -> DataFrame:
+    """(a, b, own): keys of pages and of all their redirect and canonical targets, and the
+    verdict of the target's own rule, whether or not the target is a row."""
+    found = F.concat(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)), F.regexp_extract_all("html", F.lit(_REFRESH), F.lit(1)))
+    links = pages.select("url", F.explode(found).alias("target")).where("target <> ''")
+    ends = links.select("url", absolute(F.regexp_replace("target", "&amp;", "&"), F.col("url")).alias("end"))
+    return ends.select(key(F.col("url")).alias("a"), key(F.col("end")).alias("b"),
+                       own_rule(host(F.col("end")), path(F.col("end")), rules)[1].alias("own"))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -77,9 +79,13 @@ def judge(pages: DataFrame, rules=RULES) -> DataFrame:
     rule, verdict = own_rule(F.col("host"), F.col("path"), rules)
     judged = (pages.select("page_id", h.alias("host"), p.alias("path"), key(F.col("url")).alias("key"))
               .select("*", rule.alias("rule"), verdict.alias("own")))
-    groups = components(alias_edges(pages.select("url", "html")))
-    # Blocked keys, then their components, then every key of those: small tables before the join with pages.
-    blocked = judged.where("own = 'block'").select(F.col("key").alias("node")).distinct()
+    # Written once: the components and the targets' own verdicts both read the links.
+    edges = materialize(alias_edges(pages.select("url", "html"), rules).where("a is not null and b is not null").distinct(), "links")
+    groups = components(edges.select("a", "b"))
+    # Blocked keys of rows and of link targets, then their components, then every key of those: small
+    # tables before the join with pages.
+    blocked = (judged.where("own = 'block'").select(F.col("key").alias("node"))
+               .union(edges.where("own = 'block'").select("b")).distinct())
     aliases = (groups.join(blocked, "node", "left_semi").select("component").distinct()
                .join(groups, "component").select("node"))
     carried = blocked.union(aliases).distinct().select(F.col("node").alias("key"), F.lit(True).alias("carried"))

@@ -29,6 +29,25 @@ def test_aliases(spark):
     assert got == {1: "block", 2: "block", 3: "block", 4: "allow", 5: "allow", 6: "allow", 7: "block", 8: "allow", 9: "allow"}
 
 
+def test_targets_without_rows_and_further_links(spark):
+    def link(*urls):
+        return "".join(f'<link rel="canonical" href="{u}">' for u in urls)
+
+    def refresh(*urls):
+        return "".join(f'<meta http-equiv="refresh" content="0; url={u}">' for u in urls)
+
+    rows = [(1, "http://a.org/x", link("http://c.net/fr/1")), (2, "http://b.org/y", link("http://a.org/x")),
+            (3, "http://d.org/1", link("http://d.org/2", "http://c.net/es/2")), (4, "http://d.org/2", None),
+            (5, "http://e.org/1", refresh("http://e.org/2", "http://c.net/es/3")), (6, "http://e.org/2", ""),
+            (7, "http://www.example.com/en/z", link("http://c.net/fr/1")), (8, "http://f.org/", refresh("http://g.org/fr/")),
+            (9, "nothing", link("http://c.net/fr")), (10, "http://c.net/fr", None), (11, "http://h.net/es", link("/es/")),
+            (12, "http://i.org/", link("http://www.example.com/en/q")), (13, "http://i.org/1", link("http://j.org/1")),
+            (14, "http://i.org/2", refresh("http://j.org/1")), (15, "http://i.org/3", link("http://j.org/1", "http://c.net/fr/9"))]
+    got = {r["page_id"]: r["verdict"] for r in judge(spark.createDataFrame(rows, PAGES)).collect()}
+    blocked = {1, 2, 3, 4, 5, 6, 11, 13, 14, 15}
+    assert got == {i: "block" if i in blocked else "allow" for i in range(1, 16)}
+
+
 def test_empty_and_columns(spark):
     df = spark.createDataFrame([(1, "http://a.net/es/", "x", 1, 2)], PAGES + ", host int, component int")
     assert judge(df).collect()[0]["verdict"] == "block"
