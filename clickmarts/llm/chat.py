@@ -4,11 +4,12 @@ A template is any function from a list of (role, text) turns to a text.  Its out
 rendered for successive turn prefixes; what a prefix adds to the one before is the
 turn's span, and an output that does not begin with the one before shows a template
 that rewrites history.  Rendering a turn once more with an empty text locates the text
-inside its span.  Long conversations are rendered over the last ``CONTEXT`` to
-``2 * CONTEXT`` turns, so that work grows with the turns and memory stays bounded.
+inside its span.  Prefixes are whole at every length: of a black-box template a task holds
+one conversation, and its work grows with the square of the turns.  Only an ``Additive``
+template, whose output is by construction one piece per turn, is rendered over the last
+``CONTEXT`` to ``2 * CONTEXT`` turns: the same rows, with bounded memory and work.
 
-Rows are shuffled by conversation, sorted by turn and streamed: no conversation is ever
-gathered.  Definitions: null roles and texts count as empty; rows of one turn go
+Rows are shuffled by conversation, sorted by turn and streamed.  Definitions: null roles and texts count as empty; rows of one turn go
 by role, then text; repeated rows are turns of their own; a null turn comes first;
 rows without ``conv_id`` form one conversation.
 """
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from dataclasses import dataclass
 from typing import Callable
 
 import pyarrow as pa
@@ -41,9 +43,24 @@ def unescape(text: str) -> str:
     return text
 
 
-def template(turns: list[Turn]) -> str:
-    """``<s>``, then per turn ``[role]``, a line break, the escaped text and ``</s>``."""
-    return "<s>" + "".join(f"[{escape(role)}]\n{escape(text)}</s>\n" for role, text in turns)
+@dataclass(frozen=True)
+class Additive:
+    """A template that is ``start``, then ``piece`` of each turn, which sees that turn alone:
+    no piece can depend on other turns, on their number or on the turn's place."""
+
+    start: str
+    piece: Callable[[str, str], str]
+
+    def __call__(self, turns: list[Turn]) -> str:
+        return self.start + "".join(self.piece(role, text) for role, text in turns)
+
+
+def turn_piece(role: str, text: str) -> str:
+    return f"[{escape(role)}]\n{escape(text)}</s>\n"
+
+
+#: ``<s>``, then per turn ``[role]``, a line break, the escaped text and ``</s>``.
+template = Additive("<s>", turn_piece)
 
 
 _TURN = re.compile(r"(?:<s>)?\[([^\[\]<]*)\]\n([^\[\]<]*)</s>\n")
@@ -82,6 +99,7 @@ def format_turns(conversations: DataFrame, render: Callable[[list[Turn]], str] =
     """One row per turn in order: the piece of the formatted conversation that it adds,
     the place of its text in that piece, and whether the template left what stood
     before as it was (else ``piece`` begins where the outputs part)."""
+    bounded = type(render) is Additive  # not a subclass, which may render otherwise
 
     def run(batches):
         conv, turns, out, number = object(), [], "", 0
@@ -90,7 +108,7 @@ def format_turns(conversations: DataFrame, render: Callable[[list[Turn]], str] =
             for c, role, text in zip(*(b.column(x).to_pylist() for x in ("conv_id", "role", "text"))):
                 if c != conv:
                     conv, turns, out, number = c, [], "", 0
-                if len(turns) >= 2 * CONTEXT:
+                if bounded and len(turns) >= 2 * CONTEXT:
                     turns = turns[-CONTEXT:]
                     out = render(turns)
                 turn = (role or "", text or "")

@@ -43,6 +43,27 @@ def test_template_that_rewrites_history(spark):
     assert [r["stable"] for r in sorted(format_turns(df, forgetful).collect(), key=lambda r: r["turn"])] == [True, True, True, False]
 
 
+def test_black_box_templates_see_whole_prefixes(spark):
+    def first_and_number(turns):
+        """Every turn names the first turn's text, its own number and the turn before."""
+        return "".join(f"{turns[0][1]} {i} {turns[i - 1][0] if i else ''} [{r}] {t}\n" for i, (r, t) in enumerate(turns))
+
+    def late_rewrite(turns):
+        """The first text goes once there are 140 turns."""
+        return "".join(f"[{r}] {'-' if i == 0 and len(turns) >= 140 else t}\n" for i, (r, t) in enumerate(turns))
+
+    turns = [("system" if i == 0 else "user" if i % 2 else "assistant", f"t{i}.") for i in range(150)]
+    df = spark.createDataFrame([(1, i, r, t) for i, (r, t) in enumerate(turns)], COLUMNS)
+    got = sorted(format_turns(df, first_and_number).collect(), key=lambda r: r["turn"])
+    outs = [first_and_number(turns[:i]) for i in range(151)]
+    assert [r["piece"] for r in got] == [b[len(a):] for a, b in zip(outs, outs[1:])]
+    assert [r["piece"][r["text_start"]:r["text_end"]] for r in got[1:]] == [t for _, t in turns[1:]]
+    assert all(r["stable"] for r in got)
+    rewritten = sorted(format_turns(df, late_rewrite).collect(), key=lambda r: r["turn"])
+    assert [r["turn"] for r in rewritten if not r["stable"]] == [139]
+    assert rewritten[139]["piece"] == late_rewrite(turns[:140])[len("[system] "):]
+
+
 def test_nulls_ties_repeats_empty(spark):
     df = spark.createDataFrame([(1, 0, None, None), (1, 0, "user", "b"), (1, 0, "user", "a"), (1, None, "user", "z"),
                                 (1, 2, "user", "q"), (1, 2, "user", "q"), (None, 0, "user", "n")], COLUMNS)
