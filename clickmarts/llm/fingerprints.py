@@ -9,7 +9,9 @@ Definitions: words are the runs of characters above U+0020 after lower-casing A-
 text of fewer than five words, but not none, is one shingle.  Null counts as the empty
 text.  The fingerprint is the text's own 64-bit hash and the kept hashes in order, in
 hexadecimal.  Equal fingerprints have likeness 1; otherwise it is the share of the
-common ones among all kept hashes of both, 0 if there are none.  Documents are in
+common ones among all kept hashes of both.  If there are none, it is 1 for equal words
+(texts that differ in case or spacing only) and else 0, which is exact for texts of one
+shingle.  Documents are in
 descending ``doc_id`` (nulls last), repeated ones by text; the next of the last is the
 first, which of a single row is the row itself.  An empty table gives an empty result.
 """
@@ -21,13 +23,17 @@ from pyspark.sql import functions as F
 
 from clickmarts.llm.common import lower_ascii
 
-WORDS, SCALE = 5, 8
+WORDS, SCALE = 5, 2
 _LIMIT = -(1 << 63) + (1 << 64) // SCALE
 
 
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(lower_ascii(text), "[\\x00-\\x20]+"), lambda w: w != "")
+
+
 def sketch(text: Column) -> Column:
     """Kept hashes, distinct and sorted."""
-    words = F.filter(F.split(lower_ascii(text), "[\\x00-\\x20]+"), lambda w: w != "")
+    words = words_of(text)
 
     def shingles(w):
         whole = F.when(F.size(w) > 0, F.array(F.xxhash64(F.concat_ws(" ", w)))).otherwise(F.array().cast("array<long>"))
@@ -48,7 +54,8 @@ def likeness(text_a: Column, hashes_a: Column, text_b: Column, hashes_b: Column)
     """Share of common hashes (sketches are sets, so the union's size follows)."""
     common = F.size(F.array_intersect(hashes_a, hashes_b))
     union = F.size(hashes_a) + F.size(hashes_b) - common
-    return F.when(text_a == text_b, F.lit(1.0)).when(union == 0, F.lit(0.0)).otherwise(common / union)
+    same = (words_of(text_a) == words_of(text_b)).cast("double")
+    return F.when(text_a == text_b, F.lit(1.0)).when(union == 0, same).otherwise(common / union)
 
 
 def containment(hashes_a: Column, hashes_b: Column) -> Column:
@@ -82,7 +89,8 @@ def with_next(docs: DataFrame, partitions: int) -> DataFrame:
     heads = heads.select("_range", F.coalesce(F.lead("head").over(Window.orderBy("_range")),
                                               F.first("head").over(whole)).alias("head"))
     inside = Window.partitionBy("_range").orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text"), F.col("text"))
-    placed = ranged.withColumn("hashes", sketch(F.col("text"))).repartition(partitions, "_range").withColumn(
+    # Sketched after the shuffle, which so moves texts alone.
+    placed = ranged.repartition(partitions, "_range").withColumn("hashes", sketch(F.col("text"))).withColumn(
         "next", F.lead(F.struct("text", "hashes")).over(inside))
     return placed.join(heads, "_range").select("doc_id", "text", "hashes", F.coalesce("next", "head").alias("next"))
 

@@ -1,6 +1,8 @@
 import hashlib
 
-from clickmarts.llm.fingerprints import fingerprint_report
+from pyspark.sql import functions as F
+
+from clickmarts.llm.fingerprints import fingerprint_report, likeness, sketch
 
 
 def edited(items):
@@ -50,6 +52,39 @@ def test_likeness_follows_jaccard(spark):
     assert len(errors) > 50 and sum(errors) / len(errors) < 0.06
 
 
+def test_likeness_of_short_texts(spark):
+    """Texts of 1-100 words against copies with one word changed, with half of the words
+    changed, and in other case and spacing."""
+    import random
+    r = random.Random(11)
+
+    def prose(n):
+        return ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(3, 9))) for _ in range(n)]
+
+    def sh(w):
+        return {tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
+
+    rows = []
+    for low, high in ((1, 4), (5, 9), (10, 19), (20, 49), (50, 100)):
+        for _ in range(120):
+            w = prose(r.randint(low, high))
+            one, half = w.copy(), w[:(len(w) + 1) // 2] + prose(len(w) // 2)
+            one[r.randrange(len(w))] = "changed"
+            rows += [(low, k, " ".join(w), " ".join(b), len(sh(w) & sh(b)) / len(sh(w) | sh(b))) for k, b in (("one", one), ("half", half))]
+            rows.append((low, "same", " ".join(w), "\n ".join(w).upper() + " ", 1.0))
+    df = spark.createDataFrame(rows, "low int, kind string, a string, b string, want double")
+    got = df.select("*", likeness(F.col("a"), sketch(F.col("a")), F.col("b"), sketch(F.col("b"))).alias("likeness"))
+    errors = {}
+    for x in got.collect():
+        errors.setdefault((x["kind"], x["low"]), []).append(abs(x["likeness"] - x["want"]))
+    mean = {k: sum(v) / len(v) for k, v in errors.items()}
+    assert all(mean["same", low] == 0 for low in (1, 5, 10, 20, 50)), mean
+    assert mean["one", 1] == mean["half", 1] == 0, mean
+    for kind in ("one", "half"):
+        for low, most in ((5, 0.15), (10, 0.17), (20, 0.11), (50, 0.07)):
+            assert mean[kind, low] < most, mean
+
+
 def test_repeats_nulls_one_row_empty(spark, no_docs):
     df = spark.createDataFrame([(5, "a b c d e f g", 1), (5, "a b c d e f g", 2), (None, "x", 3)],
                                "doc_id long, text string, hashes int")
