@@ -2,13 +2,12 @@
 
 The base patterns are the contract's.  The CRF is trained from a small labelled table
 (``labelled_rows``, built from a rule, a fixed number of rows), and decodes all words
-of all texts by Viterbi in numpy batches.  It adds spans of its kinds (``secret`` for
+of all texts by Viterbi, each text as one chain, in numpy batches.  It adds spans of its kinds (``secret`` for
 keys, tokens and passwords, and the base kinds in forms that the patterns miss)
 where they overlap no base span; base spans always stay.
 
 Definitions: words of the CRF are runs of characters above U+0020 other than U+00A0.
-A sequence is ``STEPS`` consecutive words; features look over its edges, and equal tags
-that touch over an edge are one span.  Null counts as the empty text and has no
+A sequence is a whole text.  Null counts as the empty text and has no
 spans; the digest of no spans is that of the empty text.  Rows are independent.
 """
 
@@ -28,7 +27,6 @@ from clickmarts.llm.common import batch, pieces, trimmed
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 TAGS = ("",) + KINDS
-STEPS = 64
 TRAIN_ROWS = 900
 
 # -- base patterns -------------------------------------------------------------
@@ -258,19 +256,47 @@ def train(rows: int = TRAIN_ROWS, rounds: int = 120, rate: float = 0.2, penalty:
     return weights, params[-k * k:].reshape(k, k).astype(np.float32)
 
 
+def best_tags(emit: np.ndarray, first: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Best tag paths over the words (words x tags) of whole texts; ``first`` marks words
+    that begin a text.
+
+    A word whose best tag leads every other by more than the moves from and to any
+    neighbours can make up for has that tag on the best path, whatever stands beside it.  Such
+    settled words part a text exactly; the runs of words between them go step by step
+    together, from the tag before and to the tag after."""
+    n, k = emit.shape
+    tags = emit.argmax(axis=1)
+    last = np.r_[first[1:], True]
+    gain = (np.maximum((moves[:, :, None] - moves[:, None, :]).max(axis=0), 0)
+            + np.maximum((moves[:, None, :] - moves[None]).max(axis=2), 0)).T + 1e-3
+    np.fill_diagonal(gain, -1)
+    loose = ((emit[np.arange(n), tags][:, None] - emit) <= gain[tags]).any(axis=1)
+    starts = np.flatnonzero(loose & (first | ~np.r_[False, loose[:-1]]))
+    ends = np.flatnonzero(loose & (last | ~np.r_[loose[1:], False]))
+    order = np.argsort(starts - ends, kind="stable")  # longest first
+    starts, ends = starts[order], ends[order]
+    sizes = ends - starts + 1
+    steps = int(sizes.max(initial=0))
+    live = np.searchsorted(-sizes, -np.arange(steps), side="left")  # runs longer than each step
+    score = emit[starts].astype(np.float64) + np.where(first[starts][:, None], 0, moves[tags[starts - 1]])
+    back = np.zeros((n, k), np.int8)
+    for t in range(1, steps):
+        at = starts[:live[t]] + t
+        ways = score[:live[t], :, None] + moves
+        back[at] = ways.argmax(axis=1)
+        score[:live[t]] = ways.max(axis=1) + emit[at]
+    best = (score + np.where(last[ends][:, None], 0, moves.T[tags[np.minimum(ends + 1, n - 1)]])).argmax(axis=1)
+    for t in range(steps - 1, -1, -1):
+        at = starts[:live[t]] + t
+        tags[at] = best[:live[t]]
+        best[:live[t]] = back[at, best[:live[t]]]
+    return tags
+
+
 def viterbi(emit: np.ndarray, moves: np.ndarray) -> np.ndarray:
     """Best tag paths of (sequences, steps, tags)."""
     n, steps, k = emit.shape
-    score, back = emit[:, 0], np.zeros((steps, n, k), np.int8)
-    for t in range(1, steps):
-        ways = score[:, :, None] + moves
-        back[t] = ways.argmax(axis=1)
-        score = ways.max(axis=1) + emit[:, t]
-    path = np.empty((n, steps), np.int8)
-    path[:, -1] = score.argmax(axis=1)
-    for t in range(steps - 1, 0, -1):
-        path[:, t - 1] = back[t, np.arange(n), path[:, t]]
-    return path
+    return best_tags(emit.reshape(-1, k), np.arange(n * steps) % steps == 0, moves).reshape(n, steps)
 
 
 def tag_words(texts: list[str], model: tuple) -> tuple:
@@ -287,13 +313,7 @@ def tag_words(texts: list[str], model: tuple) -> tuple:
     emit = weights[wide[:, 0]]
     for column in range(1, wide.shape[1]):
         emit += weights[wide[:, column]]
-    place = np.arange(len(starts)) - np.maximum.accumulate(np.where(first, np.arange(len(starts)), 0))
-    row = np.cumsum(place % STEPS == 0) - 1
-    padded = np.zeros((int(row[-1]) + 1, STEPS, len(TAGS)), np.float32)
-    padded[..., 1:] = -1e4  # beyond the words: no tag
-    padded[row, place % STEPS] = emit
-    tags = viterbi(padded, moves)[row, place % STEPS]
-    return owner, starts - begin[owner], ends - begin[owner], tags
+    return owner, starts - begin[owner], ends - begin[owner], best_tags(emit, first, moves)
 
 
 def _trimmed(text: str, a: int, b: int, kind: str) -> tuple[int, int]:

@@ -88,6 +88,32 @@ def test_viterbi_is_the_best_path():
     assert TAGS[0] == ""
 
 
+def test_viterbi_over_long_chains_of_any_scale():
+    rng = np.random.default_rng(1)
+    for scale in (0.3, 2, 8):
+        emit, moves = rng.normal(size=(3, 200, 6)) * scale, rng.normal(size=(6, 6))
+        for e, got in zip(emit, viterbi(emit, moves)):
+            score, back = e[0], []
+            for row in e[1:]:
+                ways = score[:, None] + moves
+                back.append(ways.argmax(axis=0))
+                score = ways.max(axis=0) + row
+            path = [int(score.argmax())]
+            for b in reversed(back):
+                path.append(int(b[path[-1]]))
+            assert path[::-1] == got.tolist()
+
+
+def test_spans_do_not_depend_on_the_place_in_the_text():
+    model = train()
+    for phrase in ("(555) 123-4567", "(555) 123 4567", 'token = "' + "a1b2c3d4e5" * 4 + '"', "555 123-4567",
+                   'secret "0123456789abcdef01"', "+1 988 555-2485"):
+        texts = ["plain " * (k + 1) + phrase + " plain end" for k in range(0, 131)]
+        spans = {tuple((a - 6 * (k + 1), b - 6 * (k + 1), c) for a, b, c in found)
+                 for k, (_, found) in enumerate(find_spans(texts, model))}
+        assert len(spans) == 1, (phrase, spans)
+
+
 def test_redaction_and_empty(spark, no_docs):
     df = spark.createDataFrame([(1, "x a@b.cc y", 3), (2, None, 4)], "doc_id long, text string, spans int")
     assert sorted(tuple(r) for r in redact(df).collect()) == [(1, "x [email] y", 3), (2, None, 4)]
