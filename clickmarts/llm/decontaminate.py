@@ -7,6 +7,10 @@ no word outside that vocabulary.  All windows are searched backwards at once,
 occurrences are located by sampled suffix positions, and overlapping ones are
 merged into spans.
 
+Windows are made, made distinct and numbered into blocks in Spark.  The driver and a worker
+hold one block at a time: of several, each is searched in a pass of its own over the
+documents, whose spans and items so far stand in the shared folder in between.
+
 Definitions: words are the runs of ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]`` after
 lower-casing A-Z.  A window is ``window`` consecutive words of an item; an item
 of fewer words, but not none, is one window.  Null or empty texts have no words
@@ -26,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmarts.llm.common import WORD_BYTES, pieces, replaced, trimmed
+from clickmarts.llm.common import WORD_BYTES, batch, materialize, pieces, release, replaced, trimmed
 from clickmarts.llm.fm_index import FmIndex
 
-#: Words of benchmark windows in one broadcast; more take more broadcasts, searched one after another.
+#: Words of benchmark windows in one broadcast, about; more take more broadcasts, sent and searched one after another.
 BLOCK_WORDS = 4_000_000
 SHARD_BYTES, SHARD_ROWS = 12 << 20, 1 << 14
 
@@ -40,12 +44,10 @@ class Block:
     def __init__(self):
         self.vocabulary: dict[bytes, int] = {}
         self.windows: dict[tuple[int, ...], set[str]] = {}
-        self.words = 0
 
-    def add(self, item: str, words: list[bytes]) -> None:
+    def add(self, items: list[str], words: list[bytes]) -> None:
         ids = tuple(self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in words)
-        self.windows.setdefault(ids, set()).add(item)
-        self.words += len(ids)
+        self.windows.setdefault(ids, set()).update(items)
 
     def arrays(self) -> dict:
         windows = list(self.windows)
@@ -57,19 +59,39 @@ class Block:
                 "items": [sorted(self.windows[w]) for w in windows]}
 
 
-def blocks(benchmark: DataFrame, window: int, block_words: int):
-    """Bounded blocks of distinct windows, streamed from the benchmark table."""
+_WINDOWS = pa.schema([("words", pa.binary()), ("item", pa.string()), ("n", pa.int64())])
+
+
+def numbered_windows(benchmark: DataFrame, window: int, block_words: int) -> DataFrame:
+    """(block, words, items): the distinct windows, words with a space between, and the names
+    of all items that have them, by block of about ``block_words`` words; materialized."""
+    def run(batches):
+        for b in pieces(batches, 256, 1 << 18):
+            rows: list[tuple] = []
+            for item, text in zip(b.column("item").to_pylist(), b.column("text").to_pylist()):
+                words = (text or b"").translate(WORD_BYTES).split()
+                for i in range(max(1, len(words) - window + 1) if words else 0):
+                    part = words[i:i + window]
+                    rows.append((b" ".join(part), item, len(part)))
+            yield batch(_WINDOWS, **{f.name: [r[i] for r in rows] for i, f in enumerate(_WINDOWS)})
+
+    named = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
+                             F.col("text").cast("binary").alias("text"))
+    windows = materialize(named.mapInArrow(trimmed(run), "words binary, item string, n long").groupBy("words").agg(
+        F.collect_set("item").alias("items"), F.max("n").alias("n")), "windows")
+    total = windows.agg(F.sum("n")).first()[0] or 0
+    block = F.pmod(F.xxhash64("words"), F.lit(max(1, -(-total // block_words))))
+    numbered = materialize(windows.select(block.alias("block"), "words", "items").repartition("block")
+                           .sortWithinPartitions("block"), "blocks")
+    release(windows)
+    return numbered
+
+
+def load_block(numbered: DataFrame, number: int) -> dict:
     block = Block()
-    for row in benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-                                F.col("text").cast("binary").alias("text")).toLocalIterator():
-        words = (row["text"] or b"").translate(WORD_BYTES).split()
-        for i in range(max(1, len(words) - window + 1) if words else 0):
-            block.add(row["item"], words[i:i + window])
-            if block.words >= block_words:
-                yield block.arrays()
-                block = Block()
-    if block.words:
-        yield block.arrays()
+    for row in numbered.where(F.col("block") == number).select("words", "items").toLocalIterator():
+        block.add(row["items"], bytes(row["words"]).split(b" "))
+    return block.arrays()
 
 
 def search_shard(texts: list[bytes], block: dict) -> tuple[list[int], list[np.ndarray], list[set]]:
@@ -131,20 +153,17 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def _search(blocks: list, cutting: bool):
-    """One Python worker a task searches all blocks, and cuts the texts where asked."""
+def _search(block, cutting: bool):
+    """Searches one block, adds to the spans and items found before, and cuts the texts where asked."""
     def run(batches):
         for b in pieces(batches, SHARD_ROWS, SHARD_BYTES, "_text"):
             texts = b.column("_text").to_pylist()
-            words = [t or b"" for t in texts]
-            counts, spans, items = search_shard(words, blocks[0].value)
-            for block in blocks[1:]:
-                _, more, names = search_shard(words, block.value)
-                spans = [np.r_[x, y] for x, y in zip(spans, more)]
-                items = [x | y for x, y in zip(items, names)]
-            hit = [merged(x).tolist() for x in spans]
+            counts, spans, items = search_shard([t or b"" for t in texts], block.value)
+            before = b.column("_spans").to_pylist()
+            hit = [merged(np.r_[np.array(x, np.int64), y]).tolist() for x, y in zip(before, spans)]
+            names = [sorted({*x, *y}) for x, y in zip(b.column("_items").to_pylist(), items)]
             columns = {"_n_words": pa.array(counts, pa.int64()), "_spans": pa.array(hit, pa.list_(pa.int32())),
-                       "_items": pa.array([sorted(x) for x in items], pa.list_(pa.string()))}
+                       "_items": pa.array(names, pa.list_(pa.string()))}
             if cutting:
                 columns["_text"] = pa.array([cut(t, x) if x else t for t, x in zip(texts, hit)], pa.binary())
             yield replaced(b, **columns)
@@ -155,15 +174,29 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
                        block_words: int = BLOCK_WORDS, cutting: bool = False) -> DataFrame:
     """The columns of ``docs`` and ``_text`` (bytes; with ``cutting`` those left), ``_n_words``,
     ``_spans`` (hit words as flattened half-open pairs, merged) and ``_items`` (names of the items found)."""
-    spark = docs.sparkSession
-    out = docs.select("*", F.col("text").cast("binary").alias("_text"), F.lit(0).cast("long").alias("_n_words"),
-                      F.array().cast("array<int>").alias("_spans"), F.array().cast("array<string>").alias("_items"))
-    shared = [spark.sparkContext.broadcast(block) for block in blocks(benchmark, window, block_words)]
-    if not shared:
+    sc = docs.sparkSession.sparkContext
+    found = docs.select("*", F.lit(0).cast("long").alias("_n_words"), F.array().cast("array<int>").alias("_spans"),
+                        F.array().cast("array<string>").alias("_items"))
+    text = F.col("text").cast("binary").alias("_text")
+    numbered = numbered_windows(benchmark, window, block_words)
+    numbers = sorted(r["block"] for r in numbered.select("block").distinct().collect())
+    for number in numbers[:-1]:
+        shared = sc.broadcast(load_block(numbered, number))
+        searched = found.select("*", text)
+        former, found = found, materialize(
+            searched.mapInArrow(trimmed(_search(shared, False)), searched.schema).drop("_text"), "found")
+        shared.destroy()
+        if number != numbers[0]:
+            release(former)
+    if numbers:
+        block = load_block(numbered, numbers[-1])
+    else:
         nothing = Block()
-        nothing.add("", [b""])  # no document word is empty: counts words, finds nothing
-        shared = [spark.sparkContext.broadcast(nothing.arrays())]
-    return out.mapInArrow(trimmed(_search(shared, cutting)), out.schema)
+        nothing.add([""], [b""])  # no document word is empty: counts words, finds nothing
+        block = nothing.arrays()
+    release(numbered)
+    out = found.select(*docs.columns, text, "_n_words", "_spans", "_items")
+    return out.mapInArrow(trimmed(_search(sc.broadcast(block), cutting)), out.schema)
 
 
 def _hits(spans: Column) -> Column:

@@ -48,6 +48,35 @@ def test_report(spark, docs, texts, monkeypatch):
     assert {(r["doc_id"], len(r["_items"])) for r in got.collect()} == {(w[0], w[3]) for w in want}
 
 
+def test_one_block_at_a_time(spark, docs, texts, monkeypatch):
+    from pyspark import SparkContext
+    from pyspark.core.broadcast import Broadcast
+    live, most, sent, make, end = set(), [0], [], SparkContext.broadcast, Broadcast.destroy
+
+    def broadcast(self, value):
+        out = make(self, value)
+        live.add(id(out))
+        sent.append((out, int(value["lengths"].sum())))
+        most[0] = max(most[0], len(live))
+        return out
+
+    def destroy(self, blocking=False):
+        live.discard(id(self))
+        end(self, blocking)
+
+    items = cases(texts)
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    one = decontaminate.find_contamination(docs, bench, cutting=True).collect()
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    monkeypatch.setattr(Broadcast, "destroy", destroy)
+    many = decontaminate.find_contamination(docs, bench, block_words=35, cutting=True)
+    assert most[0] == 1 and len(sent) > 3
+    windows = {tuple(w[i:i + 10]) for _, t in items if (w := words(t)) for i in range(max(1, len(w) - 9))}
+    assert sum(n for _, n in sent) == sum(map(len, windows))
+    assert many.columns == [*docs.columns, "_text", "_n_words", "_spans", "_items"]
+    assert sorted(map(str, many.collect())) == sorted(map(str, one)) and any(r["_spans"] for r in one)
+
+
 def test_empty_tables_and_columns(spark, docs, no_docs):
     none = spark.createDataFrame([], "item_id long, text string")
     assert contamination_report(no_docs, none).count() == 0
