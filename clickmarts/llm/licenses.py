@@ -4,6 +4,9 @@ Templates are word sequences with ``<<optional>> ... <<end>>`` regions that may
 left out and ``<<any:a,b>>`` regions that stand for ``a`` to ``b`` words.  A template
 is compiled to a nondeterministic automaton over words and accepted where all its
 mandatory words stand in order; the longest accepted reading from a start counts.
+``WHOLE`` templates are license texts and notices from their first mandatory word to their
+last; ``TEMPLATES`` are lines that refer to a license.  A reference inside a whole text of
+another label belongs to that text (the rights reserved in a BSD text's head) and gives none.
 
 Definitions: words as in the contract of ``op10``.  Base phrases (fixed values) give
 their label at every place they stand at.  ``score`` is 0 without any label, 0.5 for a
@@ -26,24 +29,72 @@ from clickmarts.llm.common import WORD_BYTES, batch, doc_bytes, pieces
 #: Base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-#: Templates by label, in words as the scan sees them.
+#: Reference lines by label, in words as the scan sees them.
 TEMPLATES = {
     "apache": ["licensed under the apache license <<optional>> version 2 0 <<end>>"],
-    "bsd": ["redistribution and use in source and binary forms with or without modification are permitted "
-            "provided that the following conditions are met"],
     "cc-by-nc": ["licensed under <<optional>> the <<end>> cc by nc <<optional>> 4 0 <<end>>",
                  "licensed under <<optional>> a <<end>> creative commons attribution noncommercial "
                  "<<optional>> 4 0 international <<end>> license"],
     "gpl": ["this <<any:1,3>> is licensed under the <<optional>> gnu <<end>> general public license "
-            "<<optional>> version <<any:1,1>> <<end>>",
-            "this program is free software you can redistribute it and or modify it under the terms of the gnu "
-            "<<optional>> lesser <<end>> general public license"],
-    "mit": ["released under the mit license",
-            "permission is hereby granted free of charge to any person obtaining a copy of <<any:1,8>> "
-            "<<optional>> and associated documentation files <<end>> to deal in <<any:1,4>> without restriction"],
+            "<<optional>> version <<any:1,1>> <<end>>"],
+    "mit": ["released under the mit license"],
     "proprietary": ["<<optional>> copyright <<any:1,8>> <<end>> all rights reserved"],
 }
 
+_HEAD = "<<optional>> copyright <<any:0,40>> <<optional>> all rights reserved <<end>> <<end>> "
+_GNU = "gnu <<optional>> lesser <<end>> <<optional>> affero <<end>> general public license "
+
+#: Whole license texts and notices by label.
+WHOLE = {
+    "apache": ["licensed under the apache license version 2 0 <<optional>> the license <<end>> you may not use <<any:1,8>> "
+               "except in compliance with the license you may obtain a copy of the license at <<any:0,10>> "
+               "unless required by applicable law or agreed to in writing software distributed under the license is "
+               "distributed on an as is basis without warranties or conditions of any kind either express or implied "
+               "see the license for the specific language governing permissions and limitations under the license"],
+    "bsd": [_HEAD +
+            "redistribution and use in source and binary forms with or without modification are permitted "
+            "provided that the following conditions are met "
+            "<<any:0,1>> redistributions of source code must retain the above copyright notice this list of conditions "
+            "and the following disclaimer "
+            "<<any:0,1>> redistributions in binary form must reproduce the above copyright notice this list of conditions "
+            "and the following disclaimer in the documentation and or other materials provided with the distribution "
+            "<<optional>> <<any:0,1>> neither the name of <<any:1,15>> nor the names of <<any:1,6>> may be used to endorse or "
+            "promote products derived from this software without specific prior written permission <<end>> "
+            "this software is provided by <<any:1,15>> as is and any express or implied warranties including but not limited "
+            "to the implied warranties of merchantability and fitness for a particular purpose are disclaimed "
+            "in no event shall <<any:1,15>> be liable for any direct indirect incidental special exemplary or consequential "
+            "damages including but not limited to procurement of substitute goods or services loss of use data or profits or "
+            "business interruption however caused and on any theory of liability whether in contract strict liability or tort "
+            "including negligence or otherwise arising in any way out of the use of this software even if advised of the "
+            "possibility of such damage"],
+    "gpl": ["this <<any:1,3>> is free software you can redistribute it and or modify it under the terms of the " + _GNU +
+            "as published by the free software foundation <<optional>> either <<end>> version <<any:1,2>> of the license "
+            "<<optional>> or at your option any later version <<end>> "
+            "this <<any:1,3>> is distributed in the hope that it will be useful but without any warranty without even the "
+            "implied warranty of merchantability or fitness for a particular purpose see the " + _GNU + "for more details "
+            "<<optional>> you should have received a copy of the " + _GNU + "along with <<any:1,4>> <<end>>"],
+    "isc": [_HEAD +
+            "permission to use copy modify and <<optional>> or <<end>> distribute this software for any purpose with or without "
+            "fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies "
+            "the software is provided as is and <<any:1,8>> disclaims all warranties with regard to this software including "
+            "all implied warranties of merchantability and fitness in no event shall <<any:1,8>> be liable for any special "
+            "direct indirect or consequential damages or any damages whatsoever resulting from loss of use data or profits "
+            "whether in an action of contract negligence or other tortious action arising out of or in connection with the "
+            "use or performance of this software"],
+    "mit": [_HEAD +
+            "permission is hereby granted free of charge to any person obtaining a copy of <<any:1,8>> "
+            "<<optional>> the software <<end>> to deal in <<any:1,4>> without restriction including without limitation the "
+            "rights to use copy modify merge publish distribute sublicense and or sell copies of <<any:1,4>> and to permit "
+            "persons to whom <<any:1,4>> is furnished to do so subject to the following conditions "
+            "the above copyright notice and this permission notice <<optional>> including the next paragraph <<end>> shall be "
+            "included in all copies or substantial portions of <<any:1,4>> "
+            "<<any:1,4>> is provided as is without warranty of any kind express or implied including but not limited to the "
+            "warranties of merchantability fitness for a particular purpose and noninfringement "
+            "in no event shall <<any:1,15>> be liable for any claim damages or other liability whether in an action of "
+            "contract tort or otherwise arising from out of or in connection with <<any:1,4>> or the use or other dealings in "
+            "the software"],
+}
+
 
 class Automaton:
     """States 0..n; ``step[state][word]`` and ``wild[state]`` give sets of states as bit masks."""
@@ -122,12 +173,16 @@ _ARROW = pa.schema([
 
 
 def license_scan(docs: DataFrame, base: dict[str, str] | None = None,
-                 templates: dict[str, list[str]] | None = None) -> DataFrame:
+                 templates: dict[str, list[str]] | None = None,
+                 whole: dict[str, list[str]] | None = None) -> DataFrame:
     """One row per row of ``docs``; ``spans`` are the accepted templates' words as
-    flattened half-open pairs."""
+    flattened half-open pairs.  Own ``templates`` without ``whole`` are all there are."""
+    if whole is None:
+        whole = WHOLE if templates is None else {}
     phrases = [(p.encode().split(), label) for p, label in (BASE if base is None else base).items()]
-    automata = [(label, Automaton(m)) for label, marks in (TEMPLATES if templates is None else templates).items()
-                for m in marks]
+    automata = [(label, full, Automaton(m))
+                for full, kind in ((True, whole), (False, TEMPLATES if templates is None else templates))
+                for label, marks in kind.items() for m in marks]
 
     def run(batches):
         names: dict[bytes, int] = {}
@@ -135,10 +190,10 @@ def license_scan(docs: DataFrame, base: dict[str, str] | None = None,
             for w in words:
                 names.setdefault(w, len(names) + 1)
         coded = [(np.array([names[w] for w in words]), label) for words, label in phrases]
-        for _, machine in automata:
+        for _, _, machine in automata:
             for w in machine.starts:
                 names.setdefault(w, len(names) + 1)
-        begins = [(label, machine, [names[w] for w in machine.starts]) for label, machine in automata]
+        begins = [(label, full, machine, [names[w] for w in machine.starts]) for label, full, machine in automata]
         for b in pieces(batches, 2048, 8 << 20):
             rows = {f.name: [] for f in _ARROW}
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
@@ -146,6 +201,7 @@ def license_scan(docs: DataFrame, base: dict[str, str] | None = None,
                 at, ids = np.empty(0, np.int64), np.fromiter(map(names.get, words, repeat(0)), np.int32, len(words))
                 known = np.flatnonzero(ids)
                 places, labels, own, spans, score = [], set(), set(), [], 0.0
+                texts: list[tuple] = []
                 if len(known):
                     for code, label in coded:
                         at = known[ids[known] == code[0]]
@@ -155,10 +211,12 @@ def license_scan(docs: DataFrame, base: dict[str, str] | None = None,
                         if len(at):
                             labels.add(label)
                             places += at.tolist()
-                    for label, machine, begin in begins:
+                    for label, full, machine, begin in begins:
                         for i in known[np.isin(ids[known], begin)].tolist():
                             n, literals = machine.read(words, i)
-                            if n:
+                            if n and full:
+                                texts.append((label, i, i + n))
+                            if n and (full or not any(x != label and a <= i and i + n <= z for x, a, z in texts)):
                                 own.add(label)
                                 spans.append((i, i + n))
                                 score = max(score, literals / machine.literals)
