@@ -52,7 +52,8 @@ def url_param(url, name: str) -> Column:
     u = _c(url)
     needle = f"{name}="
     match = F.regexp_substr(u, F.lit(f"{name}=[^&#]+"))
-    return F.when(u.contains(needle), F.substring(match, F.lit(len(needle) + 1), F.length(match)))
+    # No length argument: the match stands in the expression once.
+    return F.when(u.contains(needle), F.substr(match, F.lit(len(needle) + 1)))
 
 
 def url_part(url, part: str) -> Column:
