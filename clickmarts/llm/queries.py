@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from clickmarts.llm import (bpe, chat, decontaminate, fingerprints, language_id, licenses, ngram_join, pii, suffix_dedup,
-                            url_filter)
+from clickmarts.llm import (bpe, chat, decontaminate, fingerprints, language_id, licenses, ngram_join, pii, quality,
+                            suffix_dedup, url_filter)
 from clickmarts.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_licenses(spark, sf_dir):
     return licenses.license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op11_quality_rules(spark, sf_dir):
+    return quality.quality_report(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -60,7 +64,9 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_bpe, op3_decontamination, op4_language_id, op5_pii, op6_fingerprints, op7_suffix_dedup, op8_chat,
-    op9_url_filter, op10_licenses, pipeline)}
+    op9_url_filter, op10_licenses, op11_quality_rules, pipeline)}
+
+_STOPS = ", ".join(f"'{f}'" for w in quality.STOP_WORDS for f in dict.fromkeys((w, w.capitalize())))
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -130,4 +136,36 @@ ORACLE = {
         select p.page_id, host, path, rule, coalesce(own, 'allow') as verdict
         from p left join m using (page_id)
         where (select count(*) from pages where html ilike '%canonical%' or html ilike '%http-equiv%') = 0""",
+    "op11_quality_rules": rf"""
+        with t as (select doc_id, row_number() over () as r, coalesce(text, '') as text from documents),
+        p as materialized (
+          select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as w,
+                 list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as ln from t),
+        win as (select r, i, array_to_string(w[i:i + 7], ' ') as h
+                from (select r, w, unnest(range(1, greatest(1, len(w) - 6))) as i from p)),
+        rep as (select r, i from win qualify count(*) over (partition by r, h) > 1),
+        cov as (select r, count(distinct x) as n from (select r, unnest(range(i, i + 8)) as x from rep) group by r),
+        m as (
+          select doc_id, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+                 length(text) - length(translate(text, '#*$%&|<>', '')) as n_symbols, len(ln) as n_lines,
+                 len(ln) - len(list_distinct(ln)) as n_dup_lines, coalesce(cov.n, 0) as n_repeat_words,
+                 len(list_filter(w, lambda x: x in ({_STOPS}))) as n_stops,
+                 len(list_filter(ln, lambda x: regexp_matches(x, '^[ \t]*[-*\x{{2022}}]'))) as n_bullets,
+                 len(list_filter(ln, lambda x: regexp_matches(x, '(\.\.\.|\x{{2026}})[ \t\r]*$'))) as n_cut
+          from p left join cov using (r)),
+        f as (
+          select *, list_filter([
+              case when n_words < 20 then 'few_words' end,
+              case when 100 * n_repeat_words > 30 * n_words then 'repeated_words' end,
+              case when word_chars < 2.5 * n_words or word_chars > 10 * n_words then 'word_length' end,
+              case when 10 * n_symbols > n_words and n_words > 0 then 'symbols' end,
+              case when n_words > 0 and 100 * n_stops < 3 * n_words then 'stop_words' end,
+              case when n_stops < 2 then 'few_stop_words' end,
+              case when 2 * n_dup_lines > n_lines then 'repeated_lines' end,
+              case when 10 * n_bullets > 9 * n_lines then 'bullet_lines' end,
+              case when 10 * n_cut > 3 * n_lines then 'cut_lines' end], lambda x: x is not null) as failed from m)
+        select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+               list_has_any(failed, ['few_words', 'repeated_words']) as base_failed, len(failed) = 0 as kept,
+               array_to_string(failed, ',') as failed
+        from f""",
 }
