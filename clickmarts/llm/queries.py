@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from clickmarts.llm import (bpe, chat, decontaminate, fingerprints, language_id, licenses, ngram_join, pii, quality,
-                            suffix_dedup, url_filter)
+                            spelling, suffix_dedup, url_filter)
 from clickmarts.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op11_quality_rules(spark, sf_dir):
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark, sf_dir):
+    return spelling.spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -64,7 +68,7 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_bpe, op3_decontamination, op4_language_id, op5_pii, op6_fingerprints, op7_suffix_dedup, op8_chat,
-    op9_url_filter, op10_licenses, op11_quality_rules, pipeline)}
+    op9_url_filter, op10_licenses, op11_quality_rules, op12_spelling_variants, pipeline)}
 
 _STOPS = ", ".join(f"'{f}'" for w in quality.STOP_WORDS for f in dict.fromkeys((w, w.capitalize())))
 
@@ -168,4 +172,38 @@ ORACLE = {
                list_has_any(failed, ['few_words', 'repeated_words']) as base_failed, len(failed) = 0 as kept,
                array_to_string(failed, ',') as failed
         from f""",
+    "op12_spelling_variants": rf"""
+        with recursive r as (
+          select run, coalesce(cast(doc_id as varchar), '') || ':' || run as s, count(*) as n
+          from (select doc_id, unnest(regexp_extract_all({_LOWER}, '[a-z\x{{C0}}-\x{{FF}}]+')) as run from documents)
+          where length(run) >= 6 group by all),
+        b as (  -- the bytes of document and run: ASCII, or two of U+00C0 to U+00FF
+          select run, n, flatten(list_transform(string_split(s, ''), lambda c: case when unicode(c) < 128
+                 then [unicode(c)::bigint] else [195::bigint, (unicode(c) - 64)::bigint] end)) as bytes from r),
+        h as (
+          select run, n, xor(4294967295, list_reduce(bytes, lambda c, x: list_reduce(range(8),
+                 lambda k, i: xor(k >> 1, 3988292384 * (k & 1)), xor(c, x)), 4294967295)) as h from b),
+        v as materialized (
+          select word, cast(sum(n) as bigint) as n
+          from (select n, case when h % 199 = 0 then left(run, cast(h % length(run) as int)) ||
+                       substr(run, cast(h % length(run) as int) + 2) else run end as word from h)
+          where length(word) >= 6 group by word having sum(n) >= 5),
+        gone as materialized (
+          select word, n, i, left(word, i - 1) || substr(word, i + 1) as rest
+          from (select word, n, unnest(range(1, length(word) + 1)) as i from v)),
+        near as (
+          select a.word, a.n, b.word as near, b.n as m from gone a join gone b
+          on a.i = b.i and a.rest = b.rest and a.word <> b.word
+          union select a.word, a.n, b.word, b.n from gone a join v b on a.rest = b.word
+          union select b.word, b.n, a.word, a.n from gone a join v b on a.rest = b.word),
+        best as (
+          select word, count(*) as n_near, max(m) as m, arg_min(near, {{'m': -m, 'near': near}}) as near from near group by word),
+        f as materialized (
+          select v.word, v.n, coalesce(n_near, 0) as n_near, case when m >= 5 * v.n then near end as form,
+                 case when m >= 5 * v.n then m end as form_n
+          from v left join best using (word)),
+        chain as (select word, word as root, form as ahead from f
+                  union all select c.word, f.word, f.form from chain c join f on f.word = c.ahead)
+        select f.word, form, chain.root, n, n_near, form_n
+        from f join chain on chain.word = f.word and chain.ahead is null""",
 }
