@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from clickmarts.llm import (bpe, chat, decontaminate, fingerprints, language_id, licenses, ngram_join, pii, quality,
+from clickmarts.llm import (bpe, chat, collocations, decontaminate, fingerprints, language_id, licenses, ngram_join, pii, quality,
                             spelling, suffix_dedup, url_filter)
 from clickmarts.llm.common import table
 
@@ -61,6 +61,10 @@ def op12_spelling_variants(spark, sf_dir):
     return spelling.spelling_variants(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -68,7 +72,8 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_ngram_join, op2_bpe, op3_decontamination, op4_language_id, op5_pii, op6_fingerprints, op7_suffix_dedup, op8_chat,
-    op9_url_filter, op10_licenses, op11_quality_rules, op12_spelling_variants, pipeline)}
+    op9_url_filter, op10_licenses, op11_quality_rules, op12_spelling_variants,
+    op13_collocations, pipeline)}
 
 _STOPS = ", ".join(f"'{f}'" for w in quality.STOP_WORDS for f in dict.fromkeys((w, w.capitalize())))
 
@@ -206,4 +211,32 @@ ORACLE = {
                   union all select c.word, f.word, f.form from chain c join f on f.word = c.ahead)
         select f.word, form, chain.root, n, n_near, form_n
         from f join chain on chain.word = f.word and chain.ahead is null""",
+    "op13_collocations": rf"""
+        with pieces as (
+          select coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\x0A-\x0D]')) as piece
+          from documents),
+        w as materialized (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w from pieces),
+        total as (select lang, cast(sum(len(w)) as bigint) as n from w group by lang),
+        f as materialized (
+          select lang, k, phrase, count(*) as f
+          from (select lang, k, unnest(list_transform(range(1, greatest(1, len(w) - k + 2)),
+                       lambda i: array_to_string(w[i:i + k - 1], ' '))) as phrase
+                from w, (select unnest(range(1, 5)) as k)) group by all having count(*) >= 30),
+        cand as materialized (select lang, k as size, phrase, f as a, string_split(phrase, ' ') as p from f where k >= 2),
+        cuts as (
+          select c.lang, c.phrase, size, a, c.k, x.f as l, y.f as r,
+                 cast((2000000::hugeint * a) // (x.f::hugeint + y.f) as bigint) as score
+          from (select *, unnest(range(1, size)) as k from cand) c
+          join f x on x.lang = c.lang and x.phrase = array_to_string(p[1:c.k], ' ')
+          join f y on y.lang = c.lang and y.phrase = array_to_string(p[c.k + 1:], ' ')),
+        cut as (select * from cuts qualify row_number() over (partition by lang, phrase order by score, k) = 1),
+        held as (
+          select lang, phrase, max(a) as longest
+          from (select lang, a, array_to_string(p[i:i + m - 1], ' ') as phrase
+                from (select lang, a, p, m, unnest(range(1, size - m + 2)) as i
+                      from (select *, unnest(range(2, size)) as m from cand))) group by all),
+        best as (
+          select cut.*, row_number() over (partition by cut.lang order by score desc, a desc, cut.phrase) as rank
+          from cut left join held using (lang, phrase) where longest is null or 100::hugeint * longest < 80::hugeint * a)
+        select lang, rank, phrase, a, l, r, n, score from best join total using (lang) where rank <= 2000""",
 }
