@@ -695,3 +695,6 @@ def q_events_mart_split(spark, sf_dir):
 def q_sessions_mart_split(spark, sf_dir):
     """Sessions over split events, with the last-non-direct window split the same way."""
     return r_sessions(spark, sf_dir, SPLIT)
+
+
+from clickmarts import catalog_tables  # noqa: E402, F401  (registers its queries)

@@ -224,3 +224,28 @@ ORACLE["stream_sessions_complete"] = with_r(
     "GROUP BY ALL")
 ORACLE["events_mart_split"] = ORACLE["events_mart"]
 ORACLE["sessions_mart_split"] = ORACLE["sessions_mart"]
+
+# -- written tables: schema versions, snapshots, refreshes, batches ------------------------
+_NEW = "day >= '20240111'"
+ORACLE["src_schema_evolution"] = with_r(
+    f"SELECT event_id AS event_bundle_sequence_id, coalesce(CASE WHEN {_NEW} THEN nullif(sts_source, '(not set)') END, "
+    f"CASE WHEN {_NEW} THEN cts_source END, {up('utm_source', 'page_location')}) AS source, "
+    f"coalesce(CASE WHEN {_NEW} THEN nullif(sts_medium, '(not set)') END, {up('utm_medium', 'page_location')}) AS medium, "
+    f"CASE WHEN {_NEW} THEN host END AS hostname, device_category, k AS event_server_timestamp_offset, "
+    "CASE WHEN event_name = 'purchase' THEN CAST(1 AS BIGINT) END AS total_item_quantity, date_tz FROM e5")
+ORACLE["src_newest_day"] = ORACLE["src_incremental_bound"]
+ORACLE["sink_snapshot_versions"] = with_r(
+    "SELECT id, date_tz, 1 AS version, 1 AS snapshot FROM ev UNION ALL "
+    "SELECT id, date_tz, CASE WHEN date_tz >= (SELECT max(date_tz) FROM ev) - INTERVAL 3 DAY THEN 2 ELSE 1 END, 2 FROM ev")
+ORACLE["sink_column_log"] = with_r(
+    "SELECT id, CASE WHEN date_tz >= (SELECT max(date_tz) FROM ev) - INTERVAL 3 DAY THEN page_path END AS page_path, "
+    "CASE WHEN date_tz >= (SELECT max(date_tz) FROM ev) - INTERVAL 1 DAY THEN event_name END AS event_name, "
+    "event_sequence, date_tz FROM ev")
+ORACLE["read_export"] = with_r(
+    "SELECT business_unit, event_id AS event_bundle_sequence_id, event_name, is_streaming, date_tz FROM e5")
+ORACLE["refresh_events"] = ORACLE["stream_refresh"]
+ORACLE["stream_marts_events"] = ORACLE["stream_refresh"]
+ORACLE["refresh_sessions"] = ORACLE["sessions_mart"]
+ORACLE["stream_marts_sessions"] = ORACLE["sessions_mart"]
+ORACLE["refresh_products"] = (
+    "SELECT * EXCLUDE (event_id, event_specific_item_id, event_specific_variant_id, date_tz) FROM (" + PRODUCTS_SQL + ")")
