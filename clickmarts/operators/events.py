@@ -190,7 +190,8 @@ def rank_events(df: DataFrame, id_scope: str = "scan") -> DataFrame:
         surrogate_key("stream_id", "user_pseudo_id", "event_timestamp_utc", "_row_num"))
 
 
-def backfill_session_id(df: DataFrame, seconds: int = SESSION_LENGTH_SECONDS) -> DataFrame:
+def backfill_session_id(df: DataFrame, seconds: int = SESSION_LENGTH_SECONDS,
+                        keys: tuple[str, ...] = ("user_pseudo_id",)) -> DataFrame:
     """Fill a missing ``ga_session_id``.
 
     Reference: the last non-NULL id among the user's events within +-seconds
@@ -203,10 +204,11 @@ def backfill_session_id(df: DataFrame, seconds: int = SESSION_LENGTH_SECONDS) ->
     This equals the +-n frame because every non-NULL row in the +-n frame has
     second <= s + n, and the last such row lies in the frame iff its second is
     >= s - n.  Ties within a second resolve by time, then the per-user rank.
+    ``keys`` are the user, or the user and a slice that holds the whole frame.
     """
     sec = seconds_from_micros(F.col("event_timestamp_utc"))
     df = df.withColumn("_sec", sec)
-    w = (Window.partitionBy("user_pseudo_id").orderBy("_sec")
+    w = (Window.partitionBy(*keys).orderBy("_sec")
          .rangeBetween(Window.unboundedPreceding, seconds))
     has = F.col("ga_session_id").isNotNull()
     cand = F.max_by(F.struct(F.col("_sec").alias("s"), F.col("ga_session_id").alias("v")),

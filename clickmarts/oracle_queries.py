@@ -249,3 +249,12 @@ ORACLE["refresh_sessions"] = ORACLE["sessions_mart"]
 ORACLE["stream_marts_sessions"] = ORACLE["sessions_mart"]
 ORACLE["refresh_products"] = (
     "SELECT * EXCLUDE (event_id, event_specific_item_id, event_specific_variant_id, date_tz) FROM (" + PRODUCTS_SQL + ")")
+
+# Live sessions: the rows whose slice (its middle hour and half an hour on both sides) has
+# closed a day before the newest event.
+ORACLE["stream_sessions"] = with_r(
+    "SELECT session_id, user_pseudo_id, count(*) AS events, CAST(count_if(event_name = 'page_view') AS BIGINT) AS page_views, "
+    "sum(p_msec) / 1000 AS engaged_seconds, make_timestamp(min(ets)) AS first_event_at_utc, "
+    "make_timestamp(max(ets)) AS last_event_at_utc FROM e5 "
+    "WHERE ((ets // 1000000 - 1800) // 3600 * 3600 + 7200) * 1000 <= (SELECT max(ets) FROM e5) // 1000 - 86400000 "
+    "GROUP BY session_id, user_pseudo_id")

@@ -84,3 +84,10 @@ def newest_day(spark: SparkSession, path: str, partition_col: str = "date_tz") -
         if any(not n.startswith(("_", ".")) for n in names(spark, f"{path}/{name}")):
             return dt.date.fromisoformat(value)
     return None
+
+
+def set_time(spark: SparkSession, folder: str, seconds: int) -> None:
+    """Set the modification time of all files in a folder (epoch seconds)."""
+    for name in names(spark, folder):
+        fs, where = _fs(spark, f"{folder}/{name}")
+        fs.setTimes(where, seconds * 1000, -1)
