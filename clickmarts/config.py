@@ -72,6 +72,15 @@ class MartConfig:
     # counts rows per user first (a narrow aggregate); users holding more than
     # ``skew_threshold_rows`` go through the sliced windows, all others
     # through the per-user ones, and the results are unioned.  Same results.
+    # Where the sessions' distinct event count is made: "fused" with the other metrics
+    # (events computed in the same job), "narrow" in a branch of its own (events read from
+    # a written table).  Same results.
+    rollup: str = "fused"
+    # Whether equal anonymous events are numbered into users of their own (see
+    # ``operators.events.fill_user_id``).
+    number_anonymous: bool = False
+    # Malformed engagement milliseconds fail the build (the reference's hard cast) or are NULL.
+    strict_engagement: bool = True
     # Drop intraday rows of days that also have a daily shard (the reference
     # keeps both, doubling such days).
     prefer_daily: bool = False

@@ -56,6 +56,29 @@ def url_param(url, name: str) -> Column:
     return F.when(u.contains(needle), F.substr(match, F.lit(len(needle) + 1)))
 
 
+# All parts captured by one pattern: every group of the patterns above, and the rest of the text.
+_ALL_PARTS = (r"^(?:([^@:\/\s]+):\/?)?\/?([^@:\/\s\?]+)(?::(\d+))?([^\?#]*)?\??([^#]*)?#?(.+)?[\s\S]*")
+_PART_ORDER = ("protocol", "hostname", "port", "path", "query", "fragment")
+# Between the parts; two control characters that no URL has in a row.
+_BETWEEN = "\x01\x02"
+
+
+def url_parts(url) -> dict[str, Column]:
+    """All parts of a URL, equal to :func:`url_part` of each, from one match of one pattern.
+
+    The match is replaced by its six groups with a mark before each; a URL that does not
+    parse stays whole, so that its split has no further elements and all parts are NULL.
+    The array is one common expression of all parts.
+    """
+    groups = F.split(F.regexp_replace(_c(url), F.lit(_ALL_PARTS), F.lit("".join(f"{_BETWEEN}${i}" for i in range(1, 7)))),
+                     _BETWEEN)
+    out = {}
+    for i, part in enumerate(_PART_ORDER, 1):
+        value = F.get(groups, F.lit(i))
+        out[part] = F.nullif(value, F.lit("")) if part in _NON_EMPTY_PARTS else value
+    return out
+
+
 def url_part(url, part: str) -> Column:
     """One part of a URL by the reference grammar; NULL when the URL does not parse."""
     pattern = URL_PART_PATTERNS[part]

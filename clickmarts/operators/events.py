@@ -8,27 +8,52 @@ specs then differ only in their sort.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickmarts.config import SEQUENCE_EXCLUDED_EVENTS, SESSION_LENGTH_SECONDS
 from clickmarts.functions.keys import surrogate_key
 from clickmarts.functions.timeparts import engagement_seconds, seconds_from_micros
-from clickmarts.functions.urls import clean_page_path, url_part
+from clickmarts.functions.urls import clean_page_path, url_parts
 
 ANON_PREFIX = "anon-"
 DEFAULT_ANON_KEY = ("business_unit", "stream_id", "event_timestamp", "event_name",
                     "event_bundle_sequence_id")
 
 
-def fill_user_id(df: DataFrame, key_cols=DEFAULT_ANON_KEY) -> DataFrame:
+# Columns that tell rows of one user, time, name and bundle apart, if any do.
+ROW_CONTENT = ("event_params", "user_properties", "items", "ecommerce", "device", "geo", "privacy_info",
+               "event_server_timestamp_offset", "event_value_in_usd", "is_streaming")
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Hash of a row's content with its records and arrays and the kind of its shard: the last
+    sort key of ranks, so that rows that differ at all rank the same way on every run."""
+    return F.xxhash64(*[F.col(c) for c in ROW_CONTENT if c in df.columns])
+
+
+def fill_user_id(df: DataFrame, key_cols=DEFAULT_ANON_KEY, numbered: bool = False) -> DataFrame:
     """Replace a NULL ``user_pseudo_id`` by a deterministic id.
 
     The reference draws a random UUID; a hash of stable row fields gives the
     same "one anonymous user per event" effect but survives task retries and
     re-runs.  Anonymous events therefore never pile up in one window
     partition.
+
+    Events that agree in ``key_cols`` share an id.  With ``numbered`` each is a user of its
+    own: those after the first get their number appended, in the order of their content
+    (equal rows are interchangeable, so the set of ids is the same on every run).  Only the
+    anonymous rows are shuffled for it, by their key.
     """
+    if numbered:
+        anonymous = df.where(F.col("user_pseudo_id").isNull())
+        key = F.concat(F.lit(ANON_PREFIX), surrogate_key(*key_cols))
+        number = F.row_number().over(Window.partitionBy("_anon").orderBy("_hash"))
+        ids = anonymous.withColumns({"_anon": key, "_hash": row_hash(df)}).withColumn("_number", number)
+        own = F.when(F.col("_number") == 1, F.col("_anon")).otherwise(F.concat("_anon", F.lit("-"), F.col("_number").cast("string")))
+        filled = ids.withColumns({"has_null_user_pseudo_id": F.lit(True), "user_pseudo_id": own}).drop("_anon", "_hash", "_number")
+        known = df.where(F.col("user_pseudo_id").isNotNull()).withColumn("has_null_user_pseudo_id", F.lit(False))
+        return known.unionByName(filled)
     return df.withColumns({
         "has_null_user_pseudo_id": F.col("user_pseudo_id").isNull(),
         "user_pseudo_id": F.coalesce(
@@ -173,15 +198,15 @@ def rank_events(df: DataFrame, id_scope: str = "scan") -> DataFrame:
     and name (reference).  ``instant``: rank only among events of the same
     user and microsecond, so ids are stable when other days are re-read and
     the window is keyed by (user, instant): no hot-user partition.
-    The bundle sequence id is the last sort key so ties resolve the same way
-    on every run.
+    The bundle sequence id and a hash of the content are the last sort keys, so
+    ties resolve the same way on every run.
     """
     if id_scope == "scan":
         w = Window.partitionBy("user_pseudo_id").orderBy(
-            "event_timestamp_utc", "event_name", "event_bundle_sequence_id")
+            "event_timestamp_utc", "event_name", "event_bundle_sequence_id", row_hash(df))
     elif id_scope == "instant":
         w = Window.partitionBy("user_pseudo_id", "event_timestamp_utc").orderBy(
-            "event_name", "event_bundle_sequence_id")
+            "event_name", "event_bundle_sequence_id", row_hash(df))
     else:
         raise ValueError(f"id_scope must be 'scan' or 'instant', got {id_scope!r}")
     df = df.withColumn("_row_num", F.row_number().over(w).cast("long"))
@@ -236,14 +261,14 @@ def with_url_parts(df: DataFrame, url_col: str = "page_url", clean_path=None) ->
     ``page_path`` is the record's hostname followed by the cleaned path, so a
     NULL hostname gives a NULL path.
     """
-    url = F.col(url_col)
+    part = url_parts(F.col(url_col))
     return df.withColumns({
-        "page_protocol": url_part(url, "protocol"),
+        "page_protocol": part["protocol"],
         "page_hostname": F.col("hostname"),
-        "page_port": url_part(url, "port"),
-        "page_path": F.concat(F.col("hostname"), clean_page_path(url_part(url, "path"), clean_path)),
-        "page_query": url_part(url, "query"),
-        "page_fragment": url_part(url, "fragment"),
+        "page_port": part["port"],
+        "page_path": F.concat(F.col("hostname"), clean_page_path(part["path"], clean_path)),
+        "page_query": part["query"],
+        "page_fragment": part["fragment"],
     }).drop("hostname")
 
 

@@ -1,14 +1,18 @@
 """Session-level steps.
 
-Physical plan of the sessions mart: events are hash-partitioned once by
-``session_id`` and reduced by ONE aggregate that fuses what the reference
-computes in four CTEs and joins back together (first session_start row,
-first event, engagement metrics, page views).  Top-1-per-group is expressed
-as ``min_by`` over a sort key, i.e. an aggregate with map-side partial
-aggregation, so a hot session is pre-reduced before the shuffle instead of
-being sorted in one task.  A second exchange, of session rows (not events),
-by user serves the last-non-direct window, which also carries the candidate
-session's values so that no self join is needed.
+Physical plan of the sessions mart: events are reduced by ONE aggregate that
+fuses what the reference computes in four CTEs and joins back together (first
+session_start row, first event, engagement metrics, page views).
+Top-1-per-group is expressed as ``min_by`` over a sort key, i.e. a mergeable
+aggregate.  The distinct event count is the one metric that does not merge.
+In the job that computes the events they already lie by user, and the count
+stays in the same aggregate (``rollup="fused"``: no exchange at all).  From a
+written table it has a narrow branch of its own (``rollup="narrow"``): the wide
+records are then really reduced before their one exchange, a hot session to
+one row a task, and only (user, session, event) keys are shuffled apart.
+An exchange of session rows (not events) by user serves the last-non-direct
+window, which also carries the candidate session's values so that no self
+join is needed.
 """
 
 from __future__ import annotations
@@ -116,34 +120,57 @@ def engaged_flag(params: Column, keys=None) -> Column:
     return F.when(hit.isNotNull(), flag)
 
 
-def session_rollup(events: DataFrame) -> DataFrame:
+def event_composite(keys=None) -> Column:
+    """What ``event_count`` counts distinct (A4); NULL if a part is."""
+    return F.concat(F.col("id"), F.col("user_pseudo_id"),
+                    param(F.col("event_params"), "ga_session_id", "int_value", keys).cast("string"))
+
+
+def distinct_event_counts(events: DataFrame) -> DataFrame:
+    """(user_pseudo_id, session_id, event_count) of sessions with a counted event.  Distinct keys
+    are dealt by the whole key, so those of a hot session spread over tasks."""
+    keys = events.select("user_pseudo_id", "session_id", event_composite().alias("composite"))
+    return (keys.where("composite is not null").groupBy("user_pseudo_id", "session_id")
+            .agg(F.count_distinct("composite").alias("event_count")))
+
+
+def session_rollup(events: DataFrame, rollup: str = "fused") -> DataFrame:
     """One row per session with everything the mart needs from its events.
 
     ``start``: first session_start row (W5), NULL when the session has none;
     ``attr``: first event of any kind (W6); engagement metrics (A1, A4);
-    page views (A2, NULL rather than 0 when there are none).
+    page views (A2, NULL rather than 0 when there are none).  ``rollup`` says
+    where the distinct count is made; the result is the same.
     """
+    if rollup not in ("fused", "narrow"):
+        raise ValueError("rollup must be 'fused' or 'narrow'")
+    given = events
     is_start = F.col("event_name") == F.lit("session_start")
     key = first_row_key()
     ep = F.col("event_params")
     events = events.withColumn("_param_keys", param_keys(ep))
     keys = F.col("_param_keys")
-    composite = F.concat(F.col("id"), F.col("user_pseudo_id"),
-                         param(ep, "ga_session_id", "int_value", keys).cast("string"))
     # The session id is derived from the user, so grouping by (user, session)
     # forms the same groups; it lets the aggregate (and the per-user window
     # after it) reuse an existing partitioning by user instead of a new
     # exchange by session.
-    return events.groupBy("user_pseudo_id", "session_id").agg(
+    rolled = events.groupBy("user_pseudo_id", "session_id").agg(
         F.min_by(_start_record(), F.when(is_start, key)).alias("start"),
         F.min_by(_attribution_record(), key).alias("attr"),
         F.max(engaged_flag(ep, keys)).alias("is_engaged"),
         (F.sum(param(ep, "engagement_time_msec", "int_value", keys))
          / F.lit(1000)).alias("engaged_seconds"),
-        F.count_distinct(composite).alias("event_count"),
+        *([F.count_distinct(event_composite(keys)).alias("event_count")] if rollup == "fused" else []),
         F.max("event_timestamp_utc").alias("session_end_at_utc"),
         F.nullif(F.count_if(F.col("event_name") == F.lit("page_view")), F.lit(0)).alias("page_views"),
     )
+    if rollup == "fused":
+        return rolled
+    # Both sides are one row per session, dealt by the same keys.
+    counts = distinct_event_counts(given)
+    same = rolled["session_id"].eqNullSafe(counts["session_id"]) & (rolled["user_pseudo_id"] == counts["user_pseudo_id"])
+    return rolled.join(counts, same, "left").select(
+        *[rolled[c] for c in rolled.columns], F.coalesce(counts["event_count"], F.lit(0)).alias("event_count"))
 
 
 def last_non_direct(sessions: DataFrame, layout: str = "auto",

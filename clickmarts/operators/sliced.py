@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from clickmarts.config import SEQUENCE_EXCLUDED_EVENTS
 from clickmarts.functions.keys import surrogate_key
 from clickmarts.functions.timeparts import MICROS_PER_SECOND, floor_div, seconds_from_micros
+from clickmarts.operators.events import row_hash
 
 SLICE = "_slice"
 _NULL_SLICE = -(1 << 62)  # rows without a timestamp sort first, like NULLs do
@@ -118,7 +119,7 @@ def rank_events(df: DataFrame, slice_seconds: int = 3600) -> DataFrame:
     df = df.withColumn(SLICE, slice_of(F.col("event_timestamp_utc"), slice_seconds))
     keys = ["user_pseudo_id"]
     w = Window.partitionBy(*keys, SLICE).orderBy("event_timestamp_utc", "event_name",
-                                                  "event_bundle_sequence_id")
+                                                  "event_bundle_sequence_id", row_hash(df))
     local = df.withColumn("_rn", F.row_number().over(w))
     counts = df.groupBy(*keys, SLICE).agg(F.count(F.lit(1)).alias("_n"))
     offsets = _prefix_offsets(counts, keys, ["_n"])

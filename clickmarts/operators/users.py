@@ -29,7 +29,7 @@ def first_touch_record():
     return F.struct(*fields, F.col("session_start_at_utc").alias("first_session_start_at_utc"))
 
 
-def users_rollup(sessions: DataFrame, fanout: str = "dedup") -> DataFrame:
+def users_rollup(sessions: DataFrame, fanout: str = "dedup", unique_sessions: bool = True) -> DataFrame:
     """One row per ``user_pseudo_id`` (M5).
 
     First touch = the user's earliest session by start time (session id breaks
@@ -37,6 +37,10 @@ def users_rollup(sessions: DataFrame, fanout: str = "dedup") -> DataFrame:
     exchange of session rows by user with map-side partial aggregation, no
     window and no join.
 
+    The sessions mart has one row per session, so its sessions are counted, which merges;
+    for a table in which a session may stand repeatedly, ``unique_sessions=False`` counts
+    them distinct, as the reference does, at the price of a second exchange.
+
     ``fanout="reference"`` reproduces the reference's join of one
     first-touch row per session back onto the sessions: each of a user's n
     session rows meets n identical first-touch rows, so the sums come out
@@ -51,7 +55,7 @@ def users_rollup(sessions: DataFrame, fanout: str = "dedup") -> DataFrame:
         first.alias("_first"),
         F.min("session_start_at_utc").alias("first_session_at_utc"),
         F.max("session_start_at_utc").alias("last_session_at_utc"),
-        F.count_distinct("id").alias("sessions"),
+        (F.count("id") if unique_sessions else F.count_distinct("id")).alias("sessions"),
         *sums,
         F.count(F.lit(1)).alias("_rows"),
     )

@@ -22,7 +22,7 @@ def prepare_events(raw: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
     df = attr.resolve_traffic_fields(df)
     df = attr.add_templates(df)
     df = attr.resolve_channel(df, cfg.not_set)
-    return ev.flatten_records(df)
+    return ev.flatten_records(df, cfg.strict_engagement)
 
 
 def _windows(df: DataFrame, layout: str, cfg: MartConfig) -> DataFrame:
@@ -61,7 +61,7 @@ def events_mart(raw: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
     row-local attribution (P2-P10) and flattening (P11) are applied after
     them, so shuffles and sorts do not carry the derived fields.
     """
-    df = ev.window_inputs(attr.extract_params(ev.fill_user_id(raw)))
+    df = ev.window_inputs(attr.extract_params(ev.fill_user_id(raw, numbered=cfg.number_anonymous)))
     layout, top, hot = sliced.plan_layout(df, cfg.window_layout, "user_pseudo_id",
                                           cfg.skew_threshold_rows)
     if layout == "split":
@@ -72,4 +72,4 @@ def events_mart(raw: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
     df = attr.resolve_traffic_fields(df)
     df = attr.add_templates(df)
     df = attr.resolve_channel(df, cfg.not_set)
-    return ev.finish_columns(df)
+    return ev.finish_columns(df, cfg.strict_engagement)

@@ -81,7 +81,7 @@ def refresh_sessions(spark: SparkSession, events_path: str, target: str,
     extra = lookback + 2 if lookback and lookback_scan == "full" else 0
     scan_from = None if first is None else first - dt.timedelta(days=extra)
     events = read_partitions(spark, events_path, scan_from)
-    mart = sessions_mart(events, cfg)
+    mart = sessions_mart(events, replace(cfg, rollup="narrow"))
     if first is not None:
         mart = mart.where(F.col("date_tz") >= F.lit(first))
     write_partitions(mart, target)

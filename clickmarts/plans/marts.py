@@ -51,7 +51,7 @@ class Marts:
     def __init__(self, spark: SparkSession, root: str, read_raw: Callable[[], DataFrame],
                  cfg: MartConfig = MartConfig(), padding_days: int = 1, derived: tuple[str, ...] = ("sessions", "products")):
         self.derived = derived
-        self.cfg = replace(cfg, id_scope="instant")
+        self.cfg = replace(cfg, id_scope="instant", rollup="narrow")
         self.spark, self.read_raw, self.padding_days = spark, read_raw, padding_days
         self.events, self.sessions, self.products = (
             MartTable(spark, f"{root.rstrip('/')}/{name}") for name in (EVENTS, "sessions", "products"))

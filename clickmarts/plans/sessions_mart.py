@@ -11,7 +11,7 @@ from clickmarts.operators import sessions as ss
 def sessions_mart(events: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
     """One row per session that has a session_start event (123 columns)."""
     prepared = ss.default_dimensions(events, cfg.not_set)
-    rolled = ss.session_rollup(prepared)
+    rolled = ss.session_rollup(prepared, cfg.rollup)
     with_lnd = ss.last_non_direct(rolled, cfg.window_layout, cfg.session_slice_seconds,
                                   cfg.skew_threshold_rows)
     return ss.assemble_sessions(with_lnd, cfg.last_non_direct_lookback)
