@@ -184,3 +184,91 @@ def q_stream_marts_events(spark, sf_dir):
 def q_stream_marts_sessions(spark, sf_dir):
     """T1 across marts: sessions followed every batch through the impact join."""
     return _batch_marts(spark, sf_dir, "sessions").sessions.read()
+
+
+# -- every traffic source filled (P2-P11) -----------------------------------------------------
+
+def _campaign_events(spark, sf_dir):
+    """Row-local part of the events mart over the campaign fixture, with the fields that
+    it resolves but does not carry on."""
+    from clickmarts.operators import attribution as attr
+    from clickmarts.operators.events import fill_user_id
+    from clickmarts.sources.campaigns import raw_campaigns
+    configure(spark)
+    df = attr.extract_params(fill_user_id(tag_shard(raw_campaigns(spark, sf_dir))))
+    return attr.resolve_channel(attr.add_templates(attr.resolve_traffic_fields(df, extended=True)))
+
+
+@register("campaign_traffic_fields")
+def q_campaign_traffic_fields(spark, sf_dir):
+    """P2-P5 with values in the session record, the collected record, the URL and the parameters."""
+    from clickmarts.oracle_campaigns import TRAFFIC
+    return _campaign_events(spark, sf_dir).select("event_bundle_sequence_id", *TRAFFIC)
+
+
+@register("campaign_templates")
+def q_campaign_templates(spark, sf_dir):
+    """P6-P9 with every URL parameter."""
+    from clickmarts.oracle_campaigns import TEMPLATES
+    structs = sorted({c for c in _campaign_events(spark, sf_dir).columns if c.startswith(("event_traffic_source_template", "event_traffic_source_click"))})
+    return flat(_campaign_events(spark, sf_dir).select("event_bundle_sequence_id", *structs)).select("event_bundle_sequence_id", *TEMPLATES)
+
+
+@register("campaign_channels")
+def q_campaign_channels(spark, sf_dir):
+    """P10 over them."""
+    return flat(_campaign_events(spark, sf_dir).select("event_bundle_sequence_id", "event_traffic_source"))
+
+
+@register("campaign_records")
+def q_campaign_records(spark, sf_dir):
+    """P11 with every record field."""
+    from clickmarts.operators.events import flatten_records
+    from clickmarts.oracle_campaigns import RECORDS
+    df = flatten_records(_campaign_events(spark, sf_dir))
+    return df.select("event_bundle_sequence_id", *RECORDS)
+
+
+# -- the marts in plain SQL (S8) ----------------------------------------------------------------
+
+@register("sql_event_params")
+def q_sql_event_params(spark, sf_dir):
+    from clickmarts import sql
+    sql.register(spark, r_events(spark, sf_dir))
+    return spark.sql("SELECT * FROM ga_event_params")
+
+
+@register("sql_users")
+def q_sql_users(spark, sf_dir):
+    from clickmarts import sql
+    from clickmarts.catalog import r_sessions
+    sql.register(spark, r_events(spark, sf_dir), r_sessions(spark, sf_dir))
+    return spark.sql("SELECT * EXCEPT (total_engaged_seconds), round(total_engaged_seconds, 6) AS total_engaged_seconds FROM ga_users")
+
+
+@register("sql_products")
+def q_sql_products(spark, sf_dir):
+    from clickmarts import sql
+    from clickmarts.catalog import o_events
+    sql.register(spark, o_events(spark, sf_dir), prefix="shop_")
+    return spark.sql("SELECT * FROM shop_products")
+
+
+@register("sql_functions")
+def q_sql_functions(spark, sf_dir):
+    """F1-F8 called from SQL over raw events and pages."""
+    from clickmarts import sql
+    from clickmarts.catalog import r_raw
+    sql.register_functions(spark)
+    r_raw(spark, sf_dir).createOrReplaceTempView("ga_raw")
+    return spark.sql("""
+        SELECT event_bundle_sequence_id, ga_param_int(event_params, 'ga_session_id') AS ga_session_id,
+               ga_param_numeric(event_params, 'engagement_time_msec') AS engagement_time_msec,
+               ga_param_double(event_params, 'value') AS value, url AS page_location,
+               ga_url_param(url, 'utm_source') AS utm_source, ga_url_param(url, 'source') AS source,
+               ga_url_protocol(url) AS page_protocol, ga_url_port(url) AS page_port, ga_url_query(url) AS page_query,
+               ga_url_fragment(url) AS page_fragment, ga_trailing_slash(ga_url_path(url)) AS path,
+               ga_url_hostname(ga_param_string(event_params, 'referrer')) AS referrer_hostname,
+               ga_decode_common_escapes(replace(url, '/', '%2F')) AS decoded,
+               ga_surrogate_key(array(event_name, ga_param_string(event_params, 'no_such_key'))) AS key2
+        FROM (SELECT *, ga_param_string(event_params, 'page_location') AS url FROM ga_raw)""")

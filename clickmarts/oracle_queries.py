@@ -258,3 +258,23 @@ ORACLE["stream_sessions"] = with_r(
     "make_timestamp(max(ets)) AS last_event_at_utc FROM e5 "
     "WHERE ((ets // 1000000 - 1800) // 3600 * 3600 + 7200) * 1000 <= (SELECT max(ets) FROM e5) // 1000 - 86400000 "
     "GROUP BY session_id, user_pseudo_id")
+
+# -- every traffic source filled ----------------------------------------------------------
+from clickmarts import oracle_campaigns  # noqa: E402
+
+ORACLE["campaign_traffic_fields"] = oracle_campaigns.TRAFFIC_SQL
+ORACLE["campaign_templates"] = oracle_campaigns.TEMPLATES_SQL
+ORACLE["campaign_channels"] = oracle_campaigns.CHANNEL_SQL
+ORACLE["campaign_records"] = oracle_campaigns.RECORDS_SQL
+
+# -- the marts in plain SQL -----------------------------------------------------------------
+ORACLE["sql_event_params"] = EVENT_PARAMS_SQL
+ORACLE["sql_users"] = ORACLE["users_mart"]
+ORACLE["sql_products"] = PRODUCTS_SQL
+ORACLE["sql_functions"] = with_r(
+    "SELECT event_id AS event_bundle_sequence_id, p_gsid AS ga_session_id, CAST(p_msec AS DOUBLE) AS engagement_time_msec, "
+    f"v AS value, page_location, {up('utm_source', 'page_location')} AS utm_source, {up('source', 'page_location')} AS source, "
+    + ", ".join(f"{part(p, 'page_location')} AS page_{p}" for p in ("protocol", "port", "query", "fragment"))
+    + f", {slash(part('path', 'page_location'))} AS path, {part('hostname', 'p_referrer')} AS referrer_hostname, "
+    f"{_decode_sql(chr(39).join(['replace(page_location, ', '/', ', ', '%2F', ')']))} AS decoded, "
+    f"{skey('event_name', 'CAST(NULL AS VARCHAR)')} AS key2 FROM rf")
