@@ -18,7 +18,7 @@ def test_no_column_is_empty(spark, name):
 
 def test_every_branch_and_every_precedence_occurs(spark):
     from clickmarts.catalog_tables import _campaign_events
-    rows = _campaign_events(spark, SF).select("source", "medium", "gclid", "event_traffic_source.*", "creative_format").collect()
+    rows = _campaign_events(spark, "/root/testdata/sf0.01").select("source", "medium", "gclid", "event_traffic_source.*", "creative_format").collect()
     assert {r[0][0] for r in rows if r[0]} == {"m", "c", "u", "p"}  # session record, collected, URL, parameter
     assert {r["creative_format"] and r["creative_format"][0] for r in rows} == {"m", "c", None}
     mediums = {r[4] for r in rows}
