@@ -22,7 +22,7 @@ RULES = {
     "google": (11, 1, 0, 5),
     "collected": (5, 2, None, 17),
     "url": (6, 3, None, 19),
-    "param": (3, 1, None, 23),
+    "param": (4, 1, None, 23),
     "record": (4, 1, None, 29),
 }
 URL_NAMES = (("utm_source", "utm_medium", "utm_campaign", "campaign_id", "utm_content", "utm_term", "gclid", "g_acid",
