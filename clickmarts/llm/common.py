@@ -25,10 +25,20 @@ WORD_BYTES = bytes(
     for b in range(256))
 
 
+#: Most bytes of an Arrow batch between Spark and Python: texts vary from bytes to megabytes,
+#: and both sides keep buffers of the largest batch.
+BATCH_BYTES = 4 << 20
+
+
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package's sources to the executors, once per application (as
-    ``--py-files`` would), so that functions in tasks can import it."""
+    ``--py-files`` would), so that functions in tasks can import it, and bound the session's
+    Arrow batches to ``BATCH_BYTES``, if they are not bounded lower."""
     sc = spark.sparkContext
+    bound = "spark.sql.execution.arrow.maxBytesPerBatch"
+    current = spark.conf.get(bound).rstrip("b")
+    if not current.isdigit() or int(current) > BATCH_BYTES:
+        spark.conf.set(bound, str(BATCH_BYTES))
     if _shipped.get("application") != sc.applicationId:
         root = Path(__file__).resolve().parents[2]
         target = Path(tempfile.mkdtemp(prefix="clickmarts-src-")) / "clickmarts.zip"  # read by this driver only
@@ -96,13 +106,6 @@ def batch(schema: pa.Schema, **columns) -> pa.RecordBatch:
         [pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
 
-def replaced(b: pa.RecordBatch, **columns) -> pa.RecordBatch:
-    """The batch with some of its columns exchanged, under its own schema."""
-    return pa.RecordBatch.from_arrays(
-        [columns.get(f.name, b.column(i)) for i, f in enumerate(b.schema)],
-        schema=pa.schema([pa.field(f.name, columns[f.name].type) if f.name in columns else f for f in b.schema]))
-
-
 def trimmed(run):
     """A batch function that gives its free memory back to the machine at the end: Python
     workers stay for later stages, and would hold on to it."""
@@ -132,6 +135,19 @@ def pieces(batches, max_rows: int, max_bytes: int, column: str = "text"):
             yield b.slice(start)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that no column of ``df`` has, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def named(columns) -> list:
+    """Columns by their plain names, which may hold dots."""
+    return [F.col(f"`{c.replace('`', '``')}`") for c in columns]
+
+
 def lower_ascii(column):
     return F.translate(column, UPPER, LOWER)
 

@@ -23,6 +23,7 @@ inputs are not read.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -30,12 +31,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickmarts.llm.common import WORD_BYTES, batch, materialize, pieces, release, replaced, trimmed
+from clickmarts.llm.common import WORD_BYTES, batch, fresh, materialize, named, pieces, release, trimmed
 from clickmarts.llm.fm_index import FmIndex
 
 #: Words of benchmark windows in one broadcast, about; more take more broadcasts, sent and searched one after another.
 BLOCK_WORDS = 4_000_000
-SHARD_BYTES, SHARD_ROWS = 12 << 20, 1 << 14
+SHARD_BYTES, SHARD_ROWS = 3 << 20, 1 << 12
 
 
 class Block:
@@ -153,38 +154,46 @@ def merged(spans: np.ndarray) -> np.ndarray:
     return np.array(out, np.int64)
 
 
-def _search(block, cutting: bool):
-    """Searches one block, adds to the spans and items found before, and cuts the texts where asked."""
-    def run(batches):
-        for b in pieces(batches, SHARD_ROWS, SHARD_BYTES, "_text"):
-            texts = b.column("_text").to_pylist()
-            counts, spans, items = search_shard([t or b"" for t in texts], block.value)
-            before = b.column("_spans").to_pylist()
-            hit = [merged(np.r_[np.array(x, np.int64), y]).tolist() for x, y in zip(before, spans)]
-            names = [sorted({*x, *y}) for x, y in zip(b.column("_items").to_pylist(), items)]
-            columns = {"_n_words": pa.array(counts, pa.int64()), "_spans": pa.array(hit, pa.list_(pa.int32())),
-                       "_items": pa.array(names, pa.list_(pa.string()))}
-            if cutting:
-                columns["_text"] = pa.array([cut(t, x) if x else t for t, x in zip(texts, hit)], pa.binary())
-            yield replaced(b, **columns)
-    return run
+#: What a search knows of a text: words, hit words as flattened half-open pairs (merged),
+#: names of the items found, and, where texts are cut, what is left of a hit one.
+FOUND = "n_words long, spans array<int>, items array<string>, rest binary"
+_FOUND = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.int32())), ("items", pa.list_(pa.string())),
+                    ("rest", pa.binary())])
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
-                       block_words: int = BLOCK_WORDS, cutting: bool = False) -> DataFrame:
-    """The columns of ``docs`` and ``_text`` (bytes; with ``cutting`` those left), ``_n_words``,
-    ``_spans`` (hit words as flattened half-open pairs, merged) and ``_items`` (names of the items found)."""
+def _search(block, cutting: bool):
+    """Column function of (text as bytes, struct found so far): searches one block, adds to what
+    was found before, and cuts hit texts where asked.  Texts go to Python, findings come back."""
+    def parts(batches):
+        for text, before in batches:
+            yield pa.RecordBatch.from_arrays([text, before], names=["text", "before"])
+
+    @F.arrow_udf(FOUND)
+    def search(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for b in trimmed(lambda it: pieces(it, SHARD_ROWS, SHARD_BYTES))(parts(batches)):
+            texts = b.column("text").to_pylist()
+            counts, spans, items = search_shard([t or b"" for t in texts], block.value)
+            out = []
+            for text, before, n, own, names in zip(texts, b.column("before").to_pylist(), counts, spans, items):
+                before = before or {"spans": [], "items": []}
+                hit = merged(np.r_[np.array(before["spans"], np.int64), own]).tolist()
+                out.append({"n_words": n, "spans": hit, "items": sorted({*before["items"], *names}),
+                            "rest": cut(text, hit) if cutting and hit else None})
+            yield pa.array(out, _FOUND)
+    return search
+
+
+def searched(docs: DataFrame, benchmark: DataFrame, found: str, window: int = 10,
+             block_words: int = BLOCK_WORDS, cutting: bool = False) -> DataFrame:
+    """The columns of ``docs`` and the struct ``found`` (see ``FOUND``)."""
     sc = docs.sparkSession.sparkContext
-    found = docs.select("*", F.lit(0).cast("long").alias("_n_words"), F.array().cast("array<int>").alias("_spans"),
-                        F.array().cast("array<string>").alias("_items"))
-    text = F.col("text").cast("binary").alias("_text")
+    columns, text = named(docs.columns), F.col("text").cast("binary")
+    out = docs.select(*columns, F.lit(None).cast(f"struct<{FOUND}>").alias(found))
     numbered = numbered_windows(benchmark, window, block_words)
     numbers = sorted(r["block"] for r in numbered.select("block").distinct().collect())
     for number in numbers[:-1]:
         shared = sc.broadcast(load_block(numbered, number))
-        searched = found.select("*", text)
-        former, found = found, materialize(
-            searched.mapInArrow(trimmed(_search(shared, False)), searched.schema).drop("_text"), "found")
+        former, out = out, materialize(out.select(*columns, _search(shared, False)(text, F.col(found)).alias(found)), "found")
         shared.destroy()
         if number != numbers[0]:
             release(former)
@@ -195,8 +204,19 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
         nothing.add([""], [b""])  # no document word is empty: counts words, finds nothing
         block = nothing.arrays()
     release(numbered)
-    out = found.select(*docs.columns, text, "_n_words", "_spans", "_items")
-    return out.mapInArrow(trimmed(_search(sc.broadcast(block), cutting)), out.schema)
+    return out.select(*columns, _search(sc.broadcast(block), cutting)(text, F.col(found)).alias(found))
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10,
+                       block_words: int = BLOCK_WORDS, cutting: bool = False) -> DataFrame:
+    """The columns of ``docs`` and ``_text`` (bytes; with ``cutting`` those left), ``_n_words``,
+    ``_spans`` (hit words as flattened half-open pairs, merged) and ``_items`` (names of the
+    items found); a name that ``docs`` has gets further underscores in front."""
+    found = fresh(docs, "found")
+    out = searched(docs, benchmark, found, window, block_words, cutting)
+    text = F.coalesce(F.col(f"{found}.rest"), F.col("text").cast("binary"))
+    return out.select(*named(docs.columns), text.alias(fresh(docs, "_text")),
+                      *[F.col(f"{found}.{c}").alias(fresh(docs, f"_{c}")) for c in ("n_words", "spans", "items")])
 
 
 def _hits(spans: Column) -> Column:
@@ -206,12 +226,11 @@ def _hits(spans: Column) -> Column:
 
 
 def contamination_report(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    found = find_contamination(docs.select("doc_id", "text"), benchmark, window)
-    hits = _hits(F.col("_spans"))
+    found = searched(docs.select("doc_id", "text"), benchmark, "found", window).select("doc_id", "found.*")
+    hits = _hits(F.col("spans"))
     return found.select(
-        "doc_id", F.col("_n_words").alias("n_words"), hits.alias("n_hit"),
-        F.size("_items").cast("long").alias("n_items"),
-        F.sha2(F.concat_ws(",", "_items"), 256).alias("items_sha256"), (hits > 0).alias("contaminated"))
+        "doc_id", "n_words", hits.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (hits > 0).alias("contaminated"))
 
 
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
@@ -229,5 +248,7 @@ def cut(text: bytes, spans: list[int]) -> bytes:
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` with every hit span cut out of ``text``; other texts as they were."""
-    out = find_contamination(docs, benchmark, window, cutting=True)
-    return out.select(*[F.col("_text").cast("string").alias(c) if c == "text" else F.col(c) for c in docs.columns])
+    found = fresh(docs, "found")
+    out = searched(docs, benchmark, found, window, cutting=True)
+    left = F.coalesce(F.col(f"{found}.rest").cast("string"), F.col("text").cast("string"))
+    return out.select(*[left.alias(c) if c == "text" else n for c, n in zip(docs.columns, named(docs.columns))])

@@ -15,6 +15,7 @@ are no labelled documents.  Ties go to the first language by name.  Rows with a
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +125,22 @@ def predict(docs: DataFrame, model: dict, pred: str = "lang_pred", score: str =
     return out.mapInArrow(trimmed(run), out.schema)
 
 
+def judged(spark, text: Column, model: dict) -> Column:
+    """Struct ``lang``, ``score`` of a text.  Only texts go to Python and only verdicts come back."""
+    shared = spark.sparkContext.broadcast(model)
+
+    @F.arrow_udf("lang string, score double")
+    def judge(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        letters = _letters()
+        texts = (pa.RecordBatch.from_arrays([b], names=["text"]) for b in batches)
+        for b in trimmed(lambda it: pieces(it, 64, 1 << 19))(texts):
+            found = score_batch([t or "" for t in b.column("text").to_pylist()], shared.value, letters)
+            yield pa.StructArray.from_arrays([pa.array([x for x, _ in found], pa.string()),
+                                              pa.array([s for _, s in found], pa.float64())], names=["lang", "score"])
+
+    return judge(text)
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))
 

@@ -16,6 +16,8 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_right
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -23,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickmarts.llm.common import batch, pieces, trimmed
+from clickmarts.llm.common import batch, named, pieces, trimmed
 
 KINDS = ("email", "ip", "card", "phone", "secret")
 TAGS = ("",) + KINDS
 TRAIN_ROWS = 900
+#: Shortest span that the CRF adds: no number that can be dialled, address or key is shorter.
+LEAST_SPAN = 6
 
 # -- base patterns -------------------------------------------------------------
 
@@ -328,13 +332,34 @@ def _trimmed(text: str, a: int, b: int, kind: str) -> tuple[int, int]:
     return a, b
 
 
-def find_spans(texts: list[str], model: tuple) -> list[tuple[list, list]]:
-    """By text: base spans, and all spans by start, then kind."""
-    base = [base_spans(t) for t in texts]
+class _Cover:
+    """The union of spans, asked for overlaps by binary search."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for a, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def meets(self, a: int, b: int) -> bool:
+        i = bisect_right(self.ends, a)
+        return i < len(self.ends) and self.starts[i] < b
+
+
+def find_spans(texts: list[str], model: tuple, least: int = LEAST_SPAN) -> list[tuple[list, list]]:
+    """By text: base spans, and all spans by start, then kind; the CRF adds none of fewer than
+    ``least`` characters."""
+    found = [list(_candidates(t)) for t in texts]
+    base = [sorted(((a, b, k) for a, b, k, holds in x if holds), key=lambda s: (s[0], KINDS.index(s[2]))) for x in found]
+    cover = [_Cover((a, b) for a, b, _ in x) for x in base]
+    failed = [_Cover((a, b) for a, b, _, holds in x if not holds) for x in found]
     own: list[list] = [[] for _ in texts]
     owner, starts, ends, tags = tag_words(texts, model)
     tagged = np.array([i for i in np.flatnonzero(tags).tolist()
-                       if not any(starts[i] < y and x < ends[i] for x, y, _ in base[owner[i]])], np.int64)
+                       if not cover[owner[i]].meets(int(starts[i]), int(ends[i]))], np.int64)
     # Words of a secret are secrets of their own; a base span beside a run does not belong to it.
     runs = np.split(tagged, np.flatnonzero((np.diff(tagged) != 1) | (np.diff(tags[tagged]) != 0)
                                            | (np.diff(owner[tagged]) != 0) | (tags[tagged][1:] == TAGS.index("secret"))) + 1)
@@ -342,10 +367,9 @@ def find_spans(texts: list[str], model: tuple) -> list[tuple[list, list]]:
         if len(run):
             doc, kind = int(owner[run[0]]), TAGS[tags[run[0]]]
             a, b = _trimmed(texts[doc], int(starts[run[0]]), int(ends[run[-1]]), kind)
-            if b - a >= 6 and not any(a < y and x < b for x, y, _ in base[doc]):
+            if b - a >= least and not cover[doc].meets(a, b):
                 # What fails a base kind's check stays out, but for a valid number within a longer run of digits.
-                if kind == "secret" or _is_whole(texts[doc][a:b], kind) or kind != "card" and not any(
-                        a < y and x < b for x, y, _, holds in _candidates(texts[doc]) if not holds):
+                if kind == "secret" or _is_whole(texts[doc][a:b], kind) or kind != "card" and not failed[doc].meets(a, b):
                     own[doc].append((a, b, kind))
     return [(x, sorted(x + y, key=lambda s: (s[0], KINDS.index(s[2])))) for x, y in zip(base, own)]
 
@@ -385,17 +409,17 @@ def redacted(text: str, spans) -> str:
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` with all spans in ``text`` replaced by marks; null texts stay null."""
+    """``docs`` with all spans in ``text`` replaced by marks; null texts stay null.  Only
+    texts with spans come back from Python."""
     shared = docs.sparkSession.sparkContext.broadcast(train())
-    out = docs.withColumn("text", F.col("text").cast("string"))
-    place = out.columns.index("text")
 
-    def run(batches):
-        for b in pieces(batches, 1024, 1 << 20):
-            texts = b.column("text").to_pylist()
-            found = find_spans([t or "" for t in texts], shared.value)
-            column = pa.array([t and redacted(t, s) for t, (_, s) in zip(texts, found)], pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [column if i == place else c for i, c in enumerate(b.columns)], names=b.schema.names)
+    @F.arrow_udf("string")
+    def marked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        texts = (pa.RecordBatch.from_arrays([b], names=["text"]) for b in batches)
+        for b in trimmed(lambda it: pieces(it, 1024, 1 << 20))(texts):
+            rows = b.column("text").to_pylist()
+            found = find_spans([t or "" for t in rows], shared.value)
+            yield pa.array([redacted(t, s) if s else None for t, (_, s) in zip(rows, found)], pa.string())
 
-    return out.mapInArrow(trimmed(run), out.schema)
+    text = F.col("text").cast("string")
+    return docs.select(*[F.coalesce(marked(text), text).alias(c) if c == "text" else n for c, n in zip(docs.columns, named(docs.columns))])

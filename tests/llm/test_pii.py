@@ -119,3 +119,26 @@ def test_redaction_and_empty(spark, no_docs):
     assert sorted(tuple(r) for r in redact(df).collect()) == [(1, "x [email] y", 3), (2, None, 4)]
     assert redacted("abcdef", [(1, 3, "ip"), (2, 4, "card")]) == "a[ip]ef"
     assert pii_report(no_docs).count() == 0
+
+
+def test_thousands_of_spans_in_one_text():
+    """Work grows with the text, not with the square of its spans."""
+    import time
+
+    from clickmarts.llm.pii import find_spans, train
+    model, took = train(), []
+    for n in (2_000, 20_000):
+        text = " ".join(f"Mail user{i}@mail{i % 7}.example.org now, card 1234567890{i:06d}, password=x{i:05d}yZ9q" for i in range(n))
+        start = time.perf_counter()
+        (base, spans), = find_spans([text], model)
+        took.append(time.perf_counter() - start)
+        assert sum(s[2] == "email" for s in base) == n and len(spans) >= len(base)
+    assert took[1] < 25 * max(took[0], 0.1)
+
+
+def test_shortest_span_is_a_parameter():
+    from clickmarts.llm.pii import LEAST_SPAN, find_spans, train
+    text = "see token = abc1 or api_key=0123456789abcdef0123456789abcdef end"
+    (_, short), = find_spans([text], train(), 1)
+    (_, usual), = find_spans([text], train())
+    assert LEAST_SPAN == 6 and usual == [s for s in short if s[1] - s[0] >= 6] and usual
