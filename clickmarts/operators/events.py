@@ -1,9 +1,9 @@
 """Event preparation and the per-user / per-session windows.
 
 Physical shape: every window here is keyed by ``user_pseudo_id`` or by
-(user, session, ...).  Hash partitioning on the user satisfies all of them,
-so the events mart plans a single exchange of the event rows; the window
-specs then differ only in their sort.
+(user, session).  Hash partitioning on the user satisfies all of them, so the
+events mart plans a single exchange of the event rows, and two sorts: by the
+user's time (rank and back-fill) and by session (navigation and sequence).
 """
 
 from __future__ import annotations
@@ -202,8 +202,10 @@ def rank_events(df: DataFrame, id_scope: str = "scan") -> DataFrame:
     ties resolve the same way on every run.
     """
     if id_scope == "scan":
+        # By whole second first: the back-fill's window then needs no sort of its own.
+        df = df.withColumn("_sec", seconds_from_micros(F.col("event_timestamp_utc")))
         w = Window.partitionBy("user_pseudo_id").orderBy(
-            "event_timestamp_utc", "event_name", "event_bundle_sequence_id", row_hash(df))
+            "_sec", "event_timestamp_utc", "event_name", "event_bundle_sequence_id", row_hash(df))
     elif id_scope == "instant":
         w = Window.partitionBy("user_pseudo_id", "event_timestamp_utc").orderBy(
             "event_name", "event_bundle_sequence_id", row_hash(df))
@@ -231,8 +233,8 @@ def backfill_session_id(df: DataFrame, seconds: int = SESSION_LENGTH_SECONDS,
     >= s - n.  Ties within a second resolve by time, then the per-user rank.
     ``keys`` are the user, or the user and a slice that holds the whole frame.
     """
-    sec = seconds_from_micros(F.col("event_timestamp_utc"))
-    df = df.withColumn("_sec", sec)
+    if "_sec" not in df.columns:
+        df = df.withColumn("_sec", seconds_from_micros(F.col("event_timestamp_utc")))
     w = (Window.partitionBy(*keys).orderBy("_sec")
          .rangeBetween(Window.unboundedPreceding, seconds))
     has = F.col("ga_session_id").isNotNull()
@@ -272,45 +274,52 @@ def with_url_parts(df: DataFrame, url_col: str = "page_url", clean_path=None) ->
     }).drop("hostname")
 
 
+#: Navigation and sequence share one sort by session; what other rows they pass over is NULL there.
+_IN_SESSION = "PARTITION BY user_pseudo_id, ga_session_id ORDER BY event_timestamp_utc, event_id"
+
+
+def _running(condition: Column) -> Column:
+    """How many rows of the session up to this one meet a condition."""
+    w = (Window.partitionBy("user_pseudo_id", "ga_session_id").orderBy("event_timestamp_utc", "event_id")
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return F.count_if(condition).over(w)
+
+
 def page_navigation(df: DataFrame) -> DataFrame:
     """Page-view navigation within (user, session) (W3) without a self join.
 
     The reference computes the windows over page_view rows only and joins
-    them back on the event id.  Partitioning the window by "is page view" as
-    well gives the page_view rows exactly those values; other rows get NULL.
+    them back on the event id.  Here neighbours are looked up over all rows of
+    the session, ignoring those that are no page views, which gives the
+    page_view rows exactly those values; other rows get NULL.
     Missing neighbours read 'Entrance' / 'Exit' (as does a real NULL path).
     """
-    is_pv = F.col("event_name") == F.lit("page_view")
-    df = df.withColumn("_is_pv", F.coalesce(is_pv, F.lit(False)))
-    w = Window.partitionBy("user_pseudo_id", "ga_session_id", "_is_pv").orderBy(
-        "event_timestamp_utc", "event_id")
-    ts, path, eid = F.col("event_timestamp_utc"), F.col("page_path"), F.col("event_id")
+    df = df.withColumn("_is_pv", F.coalesce(F.col("event_name") == F.lit("page_view"), F.lit(False)))
+    view = "CASE WHEN _is_pv THEN struct(page_path AS path, event_id AS id, event_timestamp_utc AS ts) END"
+    near = {f"_{fn}{k}": F.expr(f"{fn}({view}, {k}) IGNORE NULLS OVER ({_IN_SESSION})") for fn in ("lag", "lead") for k in (1, 2)}
+    df = df.withColumns({**near, "_seen": _running(F.col("_is_pv"))})
     nav = {
-        "seconds_on_page": F.timestamp_diff("SECOND", ts, F.lead(ts).over(w)),
-        "is_entrance": F.row_number().over(w) == F.lit(1),
-        "is_exit": F.lead(eid).over(w).isNull(),
-        "page_sequence": F.row_number().over(w).cast("long"),
-        "previous_page_path": F.coalesce(F.lag(path).over(w), F.lit("Entrance")),
-        "previous_page_event_id": F.lag(eid).over(w),
-        "previous_page_ts_utc": F.lag(ts).over(w),
-        "prev_prev_page_path": F.coalesce(F.lag(path, 2).over(w), F.lit("Entrance")),
-        "next_page_path": F.coalesce(F.lead(path).over(w), F.lit("Exit")),
-        "next_page_event_id": F.lead(eid).over(w),
-        "next_page_ts_utc": F.lead(ts).over(w),
-        "next_next_page_path": F.coalesce(F.lead(path, 2).over(w), F.lit("Exit")),
+        "seconds_on_page": F.timestamp_diff("SECOND", F.col("event_timestamp_utc"), F.col("_lead1.ts")),
+        "is_entrance": F.col("_seen") == F.lit(1),
+        "is_exit": F.col("_lead1").isNull(),
+        "page_sequence": F.col("_seen").cast("long"),
+        "previous_page_path": F.coalesce(F.col("_lag1.path"), F.lit("Entrance")),
+        "previous_page_event_id": F.col("_lag1.id"),
+        "previous_page_ts_utc": F.col("_lag1.ts"),
+        "prev_prev_page_path": F.coalesce(F.col("_lag2.path"), F.lit("Entrance")),
+        "next_page_path": F.coalesce(F.col("_lead1.path"), F.lit("Exit")),
+        "next_page_event_id": F.col("_lead1.id"),
+        "next_page_ts_utc": F.col("_lead1.ts"),
+        "next_next_page_path": F.coalesce(F.col("_lead2.path"), F.lit("Exit")),
     }
-    return df.withColumns({k: F.when(F.col("_is_pv"), v) for k, v in nav.items()}).drop("_is_pv")
+    return df.withColumns({k: F.when(F.col("_is_pv"), v) for k, v in nav.items()}).drop("_is_pv", "_seen", *near)
 
 
 def event_sequence(df: DataFrame) -> DataFrame:
     """Position of the event in its session, session_start / first_visit excluded."""
-    counted = ~F.col("event_name").isin(*SEQUENCE_EXCLUDED_EVENTS)
-    df = df.withColumn("_seq_on", F.coalesce(counted, F.lit(False)))
-    w = Window.partitionBy("user_pseudo_id", "ga_session_id", "_seq_on").orderBy(
-        "event_timestamp_utc", "event_id")
-    return df.withColumn("event_sequence",
-                         F.when(F.col("_seq_on"), F.row_number().over(w).cast("long"))) \
-             .drop("_seq_on")
+    counted = F.coalesce(~F.col("event_name").isin(*SEQUENCE_EXCLUDED_EVENTS), F.lit(False))
+    return df.withColumn("_seq_on", counted).withColumn(
+        "event_sequence", F.when(F.col("_seq_on"), _running(F.col("_seq_on")).cast("long"))).drop("_seq_on")
 
 
 # Output columns of the events mart, in order.

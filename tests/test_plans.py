@@ -35,6 +35,13 @@ def test_events_and_sessions_share_one_exchange(spark, export):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_events_mart_sorts_twice(spark, export):
+    """Rank and back-fill share the user's time order, navigation and sequence the session's."""
+    cfg = MartConfig(window_layout="user")
+    plan = _plan(events_mart(read_export(spark, export, cfg), cfg))
+    assert len(re.findall(r"(?<!\w)Sort \[", plan)) == 2, plan[:3000]
+
+
 def test_users_rollup_adds_no_exchange(spark, export):
     from clickmarts.operators.users import users_rollup
     cfg = MartConfig(window_layout="user")
