@@ -24,16 +24,14 @@ from pyspark.sql import functions as F
 from clickmarts.config import MartConfig
 from clickmarts.plans.events_mart import events_mart
 from clickmarts.plans.sessions_mart import sessions_mart
+from clickmarts.sources import files
 from clickmarts.sources.shards import SUFFIX_COL, tag_shard
 from clickmarts.sources.sinks import read_partitions, write_partitions
 
 
 def _existing_max_day(spark: SparkSession, path: str) -> Optional[dt.date]:
-    """Newest day of the table; None where there is no table yet (first, full build)."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    if not where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where):
-        return None
-    return read_partitions(spark, path).agg(F.max("date_tz")).first()[0]
+    """Newest day of the table, from its folder names; None where there is none yet (first, full build)."""
+    return files.newest_day(spark, path)
 
 
 def refresh_window(max_day: Optional[dt.date], cfg: MartConfig) -> Optional[dt.date]:

@@ -14,6 +14,7 @@ from typing import Optional, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clickmarts.session import ensure_checkpoint_dir
 
@@ -43,16 +44,19 @@ def read_partitions(spark: SparkSession, path: str, first_day=None,
     return df
 
 
-def read_synced(spark: SparkSession, path: str, columns: Sequence[str],
+def read_synced(spark: SparkSession, path: str, columns: Sequence[str] | T.StructType,
                 partition_col: str = PARTITION_COL) -> DataFrame:
     """Read a mart whose partitions were written with different column sets,
     exposing exactly ``columns`` (S7): columns new in the latest schema are
     NULL in older partitions, columns dropped from it are not exposed.
-    Parquet files are left as written; the sync is applied on read.
+    Parquet files are left as written; the sync is applied on read.  A column
+    that no file has is NULL of its type in ``columns``, or of type string if
+    only names are given.  (``snapshots.MartTable`` keeps a column log instead.)
     """
     df = spark.read.option("mergeSchema", "true").parquet(path)
     present = set(df.columns)
-    return df.select(*[F.col(c) if c in present else F.lit(None).alias(c) for c in columns])
+    wanted = {f.name: f.dataType for f in columns.fields} if isinstance(columns, T.StructType) else dict.fromkeys(columns, "string")
+    return df.select(*[F.col(c) if c in present else F.lit(None).cast(t).alias(c) for c, t in wanted.items()])
 
 
 def scratch_path(spark: SparkSession, name: str, base: Optional[str] = None) -> str:

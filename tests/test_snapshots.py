@@ -136,3 +136,12 @@ def test_newest_day_from_folder_names(spark):
     (spark.sparkContext._jvm.org.apache.hadoop.fs.FileSystem.get(spark.sparkContext._jsc.hadoopConfiguration())
      .mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/date_tz=2024-02-01")))  # no files
     assert files.newest_day(spark, path) == D[2]
+
+
+def test_columns_that_no_file_has_are_typed(spark):
+    from clickmarts.sources.sinks import read_synced
+    path = scratch_path(spark, "t-synced")
+    write_partitions(frame(spark, [(1, D[0])]), path)
+    assert read_synced(spark, path, ["v", "new", "date_tz"]).dtypes == [("v", "int"), ("new", "string"), ("date_tz", "date")]
+    typed = read_synced(spark, path, T.StructType.fromDDL("v int, n double, date_tz date"))
+    assert got(typed) == [(1, None, D[0])] and typed.dtypes[1] == ("n", "double")
