@@ -174,14 +174,14 @@ def session_rollup(events: DataFrame, rollup: str = "fused") -> DataFrame:
 
 
 def last_non_direct(sessions: DataFrame, layout: str = "auto",
-                    slice_seconds: int = 86400, threshold: int = 10_000_000) -> DataFrame:
+                    slice_seconds: int = 86400, threshold: int = 10_000_000, bound=None) -> DataFrame:
     """Candidate last-non-direct session per session (W7) with its start row.
 
     Over the user's sessions ordered by first-event time, the latest session
     (up to and including this one) whose first event is not '(direct)'; if
     none, the session itself.  The window carries the candidate's
     ``start`` record, so the reference's join back to sessions by id is not
-    needed.  A candidate without a session_start row yields NULL.
+    needed.  ``bound`` is a known maximum of sessions per user.  A candidate without a session_start row yields NULL.
     """
     direct = F.col("attr.event_traffic_source.source") == F.lit(DIRECT_SOURCE)
     own = F.struct(F.col("session_id").alias("id"), F.col("start").alias("start"))
@@ -198,10 +198,8 @@ def last_non_direct(sessions: DataFrame, layout: str = "auto",
         return sliced.last_non_direct(sliced.materialize(df, "session-rollup"), candidate, own,
                                       slice_seconds)
 
-    # Sessions per user never exceed events per user: a bound recorded by the
-    # events mart (column metadata) avoids a second count.
     chosen, _, hot = sliced.plan_layout(sessions, layout, "user_pseudo_id", threshold,
-                                        bound=sliced.known_max_rows(sessions))
+                                        bound=bound)
     if chosen == "split":
         normal, hot_rows = sliced.split_by_keys(sessions, hot, "user_pseudo_id")
         return per_user(normal).unionByName(sliced_(hot_rows))

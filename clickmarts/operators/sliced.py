@@ -33,20 +33,17 @@ SLICE = "_slice"
 _NULL_SLICE = -(1 << 62)  # rows without a timestamp sort first, like NULLs do
 
 
-MAX_ROWS_META = "clickmarts.max_rows_per_user"
+def known_max_rows(df: DataFrame):
+    """Upper bound on rows per user that :func:`remember_max_rows` left on this very frame."""
+    return getattr(df, "_max_rows_per_user", None)
 
 
-def known_max_rows(df: DataFrame, col: str = "user_pseudo_id"):
-    """Upper bound on rows per ``col`` recorded by an earlier mart step, if any."""
-    meta = df.schema[col].metadata if col in df.columns else {}
-    return meta.get(MAX_ROWS_META)
-
-
-def record_max_rows(df: DataFrame, top, col: str = "user_pseudo_id") -> DataFrame:
-    """Attach the per-user row maximum to the user column's metadata."""
-    if top is None:
-        return df
-    return df.withMetadata(col, {**df.schema[col].metadata, MAX_ROWS_META: int(top)})
+def remember_max_rows(df: DataFrame, top) -> DataFrame:
+    """Note the counted maximum of rows per user on the frame object.  It goes with no frame
+    made from it (a filter, a union, a table written and read back), for which it may not hold."""
+    if top is not None:
+        df._max_rows_per_user = int(top)
+    return df
 
 
 # Hot keys are at most total_rows / threshold; below this count the key list

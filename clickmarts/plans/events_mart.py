@@ -68,8 +68,9 @@ def events_mart(raw: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
         normal, hot_rows = sliced.split_by_keys(df, hot, "user_pseudo_id")
         df = _windows(normal, "user", cfg).unionByName(_windows(hot_rows, "sliced", cfg))
     else:
-        df = _windows(sliced.record_max_rows(df, top) if layout == "user" else df, layout, cfg)
+        df = _windows(df, layout, cfg)
     df = attr.resolve_traffic_fields(df)
     df = attr.add_templates(df)
     df = attr.resolve_channel(df, cfg.not_set)
-    return ev.finish_columns(df, cfg.strict_engagement)
+    mart = ev.finish_columns(df, cfg.strict_engagement)
+    return sliced.remember_max_rows(mart, top if layout == "user" else None)

@@ -106,3 +106,16 @@ def test_one_user_with_a_third_of_all_rows(spark):
     assert out["user"] == out["split"] == out["sliced"]
     layout, _, hot = sliced.plan_layout(raw, "auto", "user_pseudo_id", 100)
     assert layout == "split" and [r[0] for r in hot.collect()] == ["bot"]
+
+
+def test_a_counted_maximum_holds_for_its_own_frame_only(spark, raw_schema):
+    """A union with, or a table holding, a user with more rows is counted anew."""
+    from clickmarts.operators.sliced import known_max_rows
+    from clickmarts.sources.sinks import scratch_path
+    cfg = MartConfig(skew_threshold_rows=5)
+    few = events_mart(raw_df(spark, raw_schema, [dict(t=i, user="u") for i in range(3)]), cfg)
+    many = events_mart(raw_df(spark, raw_schema, [dict(t=i, user="bot", gsid=i) for i in range(9)]), MartConfig(window_layout="user"))
+    assert known_max_rows(few) == 3 and known_max_rows(few.unionByName(many)) is None
+    path = scratch_path(spark, "t-bound")
+    few.write.parquet(path)
+    assert known_max_rows(spark.read.parquet(path)) is None and known_max_rows(few.where("true")) is None
