@@ -8,7 +8,10 @@ without a blocked alias is allowed.
 
 Definitions: null urls and urls without ``://`` have empty host and path, fit no rule and
 are aliases of nothing.  A url's key is its host, its path without closing slashes, and
-its query; scheme and fragment do not count, and equal keys are one page.  Of rules
+its query; scheme and fragment do not count, dot segments (``/./``, ``/../``) are resolved,
+and equal keys are one page.  Rules are judged on the path as it stands for rows, and resolved
+for link targets.  Links in HTML comments do not count; an unclosed comment reaches to the
+end.  Of rules
 of equal length the one with the longer host wins.  Null html has no links.  Rows are
 independent otherwise; repeated rows are judged alike.  Empty tables give empty results.
 """
@@ -28,6 +31,9 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
 _URL = r"://([^/?#]*)([^?#]*)(\?[^#]*)?"
 _LINK = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 _REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?([^"'\s>]+)"""
+#: Comments hold no links.
+_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+_DOTS = r"/\.\.?(/|\z)"
 
 
 def host(url: Column) -> Column:
@@ -38,10 +44,20 @@ def path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, _URL, 2), F.lit(""))
 
 
+def resolved(path_: Column) -> Column:
+    """A path without dot segments: ``.`` goes, ``..`` takes the segment before it along."""
+    parts = F.split(path_, "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda done, part: F.when(
+        part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.least(F.size(done), F.lit(1))))).when(
+        part == ".", done).otherwise(F.concat(done, F.array(part))))
+    closing = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    return F.when(path_.rlike(_DOTS), F.concat(F.array_join(kept, "/"), closing)).otherwise(path_)
+
+
 def key(url: Column) -> Column:
     """The page that a url names; null without ``://``."""
     return F.when(F.instr(url, "://") > 0, F.concat(
-        host(url), F.regexp_replace(path(url), "/+$", ""), F.regexp_extract(url, _URL, 3)))
+        host(url), F.regexp_replace(resolved(path(url)), "/+$", ""), F.regexp_extract(url, _URL, 3)))
 
 
 def absolute(target: Column, url: Column) -> Column:
@@ -67,11 +83,12 @@ def own_rule(host_: Column, path_: Column, rules=RULES) -> tuple[Column, Column]
 def alias_edges(pages: DataFrame, rules=RULES) -> DataFrame:
     """(a, b, own): keys of pages and of all their redirect and canonical targets, and the
     verdict of the target's own rule, whether or not the target is a row."""
-    found = F.concat(F.regexp_extract_all("html", F.lit(_LINK), F.lit(1)), F.regexp_extract_all("html", F.lit(_REFRESH), F.lit(1)))
-    links = pages.select("url", F.explode(found).alias("target")).where("target <> ''")
+    html = F.when(F.col("html").contains("<!--"), F.regexp_replace("html", _COMMENT, "")).otherwise(F.col("html"))
+    found = F.concat(*[F.regexp_extract_all(F.col("html"), F.lit(x), F.lit(1)) for x in (_LINK, _REFRESH)])
+    links = pages.select("url", html.alias("html")).select("url", F.explode(found).alias("target")).where("target <> ''")
     ends = links.select("url", absolute(F.regexp_replace("target", "&amp;", "&"), F.col("url")).alias("end"))
     return ends.select(key(F.col("url")).alias("a"), key(F.col("end")).alias("b"),
-                       own_rule(host(F.col("end")), path(F.col("end")), rules)[1].alias("own"))
+                       own_rule(host(F.col("end")), resolved(path(F.col("end"))), rules)[1].alias("own"))
 
 
 def judge(pages: DataFrame, rules=RULES) -> DataFrame:

@@ -48,6 +48,27 @@ def test_targets_without_rows_and_further_links(spark):
     assert got == {i: "block" if i in blocked else "allow" for i in range(1, 16)}
 
 
+def test_dot_segments_and_comments(spark):
+    def link(u):
+        return f'<link rel="canonical" href="{u}">'
+
+    rows = [(1, "http://c.net/a/b/c", link("../../fr/1")), (2, "http://c.net/a/b", link("/x/../es/./2")),
+            (3, "http://c.net/a/b/d", link("./x")), (4, "http://k.org/1", "<!-- " + link("http://c.net/fr/9") + " -->" + link("/2")),
+            (5, "http://k.org/2", None), (6, "http://k.org/3", "<!--" + link("http://c.net/fr/9")),
+            (7, "http://k.org/4", "<!-- a --><!-- b -->" + link("http://c.net/fr/9")), (8, "http://k.org/x/../5", link("http://c.net/es/")),
+            (9, "http://k.org/5", ""), (10, "http://c.net/p", link("../../../fr/..")), (11, "http://c.net/p/q", link("http://c.net/fr/..?a=/../fr/"))]
+    got = {r["page_id"]: r["verdict"] for r in judge(spark.createDataFrame(rows, PAGES)).collect()}
+    assert got == {i: "block" if i in (1, 2, 7, 8, 9) else "allow" for i in range(1, 12)}
+
+
+def test_paths_without_dot_segments(spark):
+    from clickmarts.llm.url_filter import resolved
+    paths = {"": "", "/": "/", "/a/b": "/a/b", "/a/./b": "/a/b", "/a/../b": "/b", "/..": "/", "/../../x": "/x", "/a/..": "/", "/a/b/..": "/a/",
+             "/a/.": "/a/", "/a//../b": "/a/b", "/...": "/...", "/a/..b": "/a/..b", "/./": "/", "/a/b/../../c/./d/": "/c/d/"}
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert {r["p"]: r["r"] for r in df.select("p", resolved(df["p"]).alias("r")).collect()} == paths
+
+
 def test_empty_and_columns(spark):
     df = spark.createDataFrame([(1, "http://a.net/es/", "x", 1, 2)], PAGES + ", host int, component int")
     assert judge(df).collect()[0]["verdict"] == "block"
