@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 from clickmarts.config import MartConfig
 from clickmarts.plans.events_mart import events_mart
 from clickmarts.session import configure
-from clickmarts.sources.fixtures import raw_events, raw_orders
+from clickmarts.sources import files
+from clickmarts.sources.fixtures import raw_events, raw_orders, whole_shards
 from clickmarts.sources.shards import tag_shard
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -559,7 +560,9 @@ def _land_raw(spark, sf_dir) -> str:
     from clickmarts.sources.sinks import scratch_path
     configure(spark)
     path = scratch_path(spark, "landing")
-    raw_events(spark, sf_dir).write.partitionBy("table_suffix").parquet(path)
+    # One file a shard, so that a trigger of so many files is one of so many days at any size.
+    raw_events(spark, sf_dir, whole_shards).write.partitionBy("table_suffix").parquet(path)
+    files.order_by_day(spark, path)
     return path
 
 
@@ -625,13 +628,10 @@ def _stream_sessions(spark, sf_dir, delay):
 
 def _land_in_order(spark, raw) -> str:
     """Land shard files so that a stream reads them day by day: file times follow the days."""
-    from clickmarts.sources import files
     from clickmarts.sources.sinks import scratch_path
     path = scratch_path(spark, "landing")
     raw.write.partitionBy("table_suffix").parquet(path)
-    suffixes = sorted((n for n in files.names(spark, path) if "=" in n), key=lambda n: n[-8:])
-    for i, name in enumerate(suffixes):
-        files.set_time(spark, f"{path}/{name}", 1_700_000_000 + 60 * i)
+    files.order_by_day(spark, path)
     return path
 
 
@@ -652,7 +652,7 @@ def q_stream_sessions(spark, sf_dir):
     """Sessions of all slices that the watermark, a day behind, has closed; their ids and
     metrics are those of the batch marts."""
     configure(spark)
-    return _run_live_sessions(spark, raw_events(spark, sf_dir))
+    return _run_live_sessions(spark, raw_events(spark, sf_dir, whole_shards))
 
 
 @register("stream_sessions_complete")

@@ -8,6 +8,8 @@ suffix column, so ``tag_shard`` applies as on a real export.
 
 from __future__ import annotations
 
+from typing import Callable, Optional
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -99,8 +101,20 @@ def _common_tail() -> dict:
     }
 
 
-def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R: GA-shaped export rows built from ``events`` + ``pages`` (+ nation/region)."""
+def whole_shards(rows: DataFrame) -> DataFrame:
+    """Rows dealt and sorted by shard, so that each shard is written as one file."""
+    return rows.repartition("table_suffix").sortWithinPartitions("table_suffix")
+
+
+def even_shards(rows: DataFrame) -> DataFrame:
+    """Rows dealt and sorted by shard, in as many files a shard as its size asks for."""
+    return rows.hint("rebalance", "table_suffix").sortWithinPartitions("table_suffix")
+
+
+def raw_events(spark: SparkSession, sf_dir: str, lay: Optional[Callable[[DataFrame], DataFrame]] = None) -> DataFrame:
+    """R: GA-shaped export rows built from ``events`` + ``pages`` (+ nation/region).
+
+    ``lay`` deals the rows for a write by shard, while they are still narrow."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
     nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
@@ -123,8 +137,11 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select(
         F.col("n_nationkey").cast("long").alias("_nk"), "n_name", "r_name")
+    suffix = F.concat(F.when(F.col("event_timestamp") >= F.lit(INTRADAY_FROM_MICROS), F.lit("intraday_")).otherwise(F.lit("")),
+                      F.col("_day"))
     j = (b.join(pg, b.prn == pg.rn)
-          .join(geo, (F.col("uid") % F.lit(25)) == F.col("_nk"), "left"))
+          .join(geo, (F.col("uid") % F.lit(25)) == F.col("_nk"), "left").withColumn("table_suffix", suffix))
+    j = lay(j) if lay else j
 
     k, uid, v, url, ets = F.col("k"), F.col("uid"), F.col("v"), F.col("url"), F.col("event_timestamp")
     event_name = (F.when(F.col("event_type") == "view", "page_view")
@@ -218,9 +235,7 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             transaction_id=F.when(is_purchase, F.concat(F.lit("T"), eid_s))),
         "items": _empty_items(),
         "business_unit": business_unit,
-        "table_suffix": F.concat(
-            F.when(ets >= F.lit(INTRADAY_FROM_MICROS), F.lit("intraday_")).otherwise(F.lit("")),
-            F.col("_day")),
+        "table_suffix": F.col("table_suffix"),
     }
     cols.update(_common_tail())
     return j.select(*[c.alias(n) for n, c in cols.items()])
@@ -229,13 +244,15 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORDER_EVENT_NAMES = (("F", "purchase"), ("O", "add_to_cart"), ("P", "page_view"))
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_orders(spark: SparkSession, sf_dir: str, lay: Optional[Callable[[DataFrame], DataFrame]] = None,
+               suffix: Optional[Column] = None) -> DataFrame:
     """O: one commerce event per order; its lines (joined to ``part``) as ``items``.
 
     Lines are grouped per order into the nested ``items`` array, the layout
     the export itself uses; orders without lines get an empty array.  An order
     is one event, whatever its number of lines: an event is one nested row of
-    the export, and splitting it would repeat its revenue.
+    the export, and splitting it would repeat its revenue.  ``suffix`` replaces the
+    shard's (the day of ``o_orderdate``); ``lay`` is as in :func:`raw_events`.
     """
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
@@ -243,18 +260,25 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = spark.read.parquet(f"{sf_dir}/part.parquet").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
     qty = F.ceil(F.col("l_quantity") / F.lit(25)).cast("long")
-    item = F.struct(*[
-        (F.col("l_partkey").cast("string") if f == "item_id"
-         else F.col("p_name") if f == "item_name"
-         else F.when(F.col("l_partkey") % 11 != 0, F.col("p_brand")) if f == "item_brand"
-         else F.col("p_type") if f == "item_category"
-         else _null("string")).alias(f) for f in ITEM_STRING_FIELDS
-    ], _null("double").alias("item_revenue_in_usd"), qty.alias("quantity"),
-        F.col("p_retailprice").alias("price_in_usd"), F.col("p_retailprice").alias("price"))
+    # Lines are shuffled and grouped with their own values only; the item's fields come after.
+    line = F.struct("l_partkey", "p_name", "p_brand", "p_type", "p_retailprice", qty.alias("quantity"))
+
+    def item(p: Column) -> Column:
+        return F.struct(*[
+            (p["l_partkey"].cast("string") if f == "item_id"
+             else p["p_name"] if f == "item_name"
+             else F.when(p["l_partkey"] % 11 != 0, p["p_brand"]) if f == "item_brand"
+             else p["p_type"] if f == "item_category"
+             else _null("string")).alias(f) for f in ITEM_STRING_FIELDS
+        ], _null("double").alias("item_revenue_in_usd"), p["quantity"].alias("quantity"),
+            p["p_retailprice"].alias("price_in_usd"), p["p_retailprice"].alias("price"))
+
     joined = lineitem.join(part, lineitem.l_partkey == part.p_partkey)
     lines = joined.groupBy("l_orderkey").agg(
-        F.collect_list(item).alias("items"), F.sum(qty).alias("_qty"), F.count(F.lit(1)).alias("_n"))
-    o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+        F.collect_list(line).alias("_lines"), F.sum(qty).alias("_qty"), F.count(F.lit(1)).alias("_n"))
+    shard = F.date_format("o_orderdate", "yyyyMMdd") if suffix is None else suffix
+    o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left").withColumn("table_suffix", shard)
+    o = lay(o) if lay else o
 
     status = F.col("o_orderstatus")
     event_name = F.lit(None).cast("string")
@@ -289,9 +313,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
             purchase_revenue=F.col("o_totalprice"),
             unique_items=F.col("_n"),
             transaction_id=F.col("o_orderkey").cast("string")),
-        "items": F.coalesce(F.col("items"), _empty_items()),
+        "items": F.coalesce(F.transform("_lines", item), _empty_items()),
         "business_unit": F.lit("shop"),
-        "table_suffix": F.date_format("o_orderdate", "yyyyMMdd"),
+        "table_suffix": F.col("table_suffix"),
     }
     cols.update(_common_tail())
     return o.select(*[c.alias(n) for n, c in cols.items()])
