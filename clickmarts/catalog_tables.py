@@ -11,7 +11,7 @@ from clickmarts.config import MartConfig
 from clickmarts.plans.marts import Marts
 from clickmarts.session import configure
 from clickmarts.sources import files
-from clickmarts.sources.fixtures import raw_events, raw_orders
+from clickmarts.sources.fixtures import even_shards, raw_events, raw_orders
 from clickmarts.sources.schema import read_evolved
 from clickmarts.sources.shards import Property, incremental_bound, read_export, read_shards, tag_property, tag_shard
 from clickmarts.sources.sinks import scratch_path, write_partitions
@@ -114,16 +114,18 @@ def q_read_export(spark, sf_dir):
 
 # -- refreshes and batches (incremental runs, T1) -------------------------------------------
 
-def _landed_marts(spark, raw, late_days: int, *derived: str) -> Marts:
-    """Marts built while the last days had not landed, refreshed once they have."""
+def _landed_marts(spark, laid, late_days: int, *derived: str) -> Marts:
+    """Marts built while the last days had not landed, refreshed once they have.
+    ``laid`` makes the raw rows, dealt as its argument says."""
+    raw, dealt = laid(None), laid(even_shards)
     landing, days = scratch_path(spark, "landing"), _days(spark, raw)
     day = F.right("table_suffix", F.lit(8))
     schema = raw.schema
     marts = Marts(spark, scratch_path(spark, "marts"), lambda: spark.read.schema(schema).parquet(landing), MartConfig(),
                   PADDING, derived)
-    _land(raw.where(day < days[-late_days]), landing)
+    _land(dealt.where(day < days[-late_days]), landing)
     marts.build()
-    _land(raw.where(day >= days[-late_days]), landing)
+    _land(dealt.where(day >= days[-late_days]), landing)
     marts.rewrite_days([dt.date(int(d[:4]), int(d[4:6]), int(d[6:])) for d in days[-late_days:]])
     marts.refresh()
     return marts
@@ -132,14 +134,14 @@ def _landed_marts(spark, raw, late_days: int, *derived: str) -> Marts:
 @register("refresh_events")
 def q_refresh_events(spark, sf_dir):
     configure(spark)
-    marts = _landed_marts(spark, raw_events(spark, sf_dir), 3)
+    marts = _landed_marts(spark, lambda lay: raw_events(spark, sf_dir, lay), 3)
     return marts.events.read().select("id", "session_id", "user_pseudo_id", "event_name", "event_sequence", "page_sequence", "date_tz")
 
 
 @register("refresh_sessions")
 def q_refresh_sessions(spark, sf_dir):
     configure(spark)
-    return _landed_marts(spark, raw_events(spark, sf_dir), 2, "sessions").sessions.read()
+    return _landed_marts(spark, lambda lay: raw_events(spark, sf_dir, lay), 2, "sessions").sessions.read()
 
 
 @register("refresh_products")
@@ -147,8 +149,8 @@ def q_refresh_products(spark, sf_dir):
     """Products after late order days.  Orders cover years, so their shards here are those of
     a month's first day; event ids are instant-scoped."""
     configure(spark)
-    raw = raw_orders(spark, sf_dir).withColumn("table_suffix", F.concat(F.substring("table_suffix", 1, 6), F.lit("01")))
-    products = _landed_marts(spark, raw, 2, "products").products.read()
+    month = F.concat(F.date_format("o_orderdate", "yyyyMM"), F.lit("01"))
+    products = _landed_marts(spark, lambda lay: raw_orders(spark, sf_dir, lay, month), 2, "products").products.read()
     return products.drop("event_id", "event_specific_item_id", "event_specific_variant_id", "date_tz")
 
 
@@ -158,7 +160,7 @@ def _batch_marts(spark, sf_dir, *derived: str) -> Marts:
     from clickmarts.catalog import _run_available_now
     from clickmarts.streaming.refresh import raw_stream
     configure(spark)
-    raw = raw_events(spark, sf_dir)
+    raw, dealt = raw_events(spark, sf_dir), raw_events(spark, sf_dir, even_shards)
     landing, ckpt, days = scratch_path(spark, "landing"), scratch_path(spark, "ckpt"), _days(spark, raw)
     marts = Marts(spark, scratch_path(spark, "marts"), lambda: spark.read.schema(raw.schema).parquet(landing), MartConfig(),
                   PADDING, derived)
@@ -166,7 +168,7 @@ def _batch_marts(spark, sf_dir, *derived: str) -> Marts:
     parts = [[d for d in days[:-5] if d not in late], sorted(late), days[-5:]]
     day = F.right("table_suffix", F.lit(8))
     for part in parts:
-        _land(raw.where(day.isin(*part)), landing)
+        _land(dealt.where(day.isin(*part)), landing)
         _run_available_now(raw_stream(spark, landing, raw.schema, 1000).writeStream.foreachBatch(
             lambda batch, number: marts.apply_batch(batch, number)).option("checkpointLocation", ckpt))
     marts.apply_batch(raw.where(day.isin(*parts[-1])), len(parts) - 1)

@@ -28,8 +28,10 @@ from clickmarts.config import SEQUENCE_EXCLUDED_EVENTS
 from clickmarts.functions.keys import surrogate_key
 from clickmarts.functions.timeparts import MICROS_PER_SECOND, floor_div, seconds_from_micros
 from clickmarts.operators.events import row_hash
+from clickmarts.session import free_shuffles
 
 SLICE = "_slice"
+ROW = "_row"  # number of a written row
 _NULL_SLICE = -(1 << 62)  # rows without a timestamp sort first, like NULLs do
 
 
@@ -67,7 +69,8 @@ def plan_layout(df: DataFrame, layout: str, key: str, threshold: int, bound=None
     top, n_hot = counts.agg(F.max("_n"), F.count_if(F.col("_n") > F.lit(threshold))).first()
     if not n_hot:
         return "user", top, None
-    hot = counts.where(F.col("_n") > F.lit(threshold)).select(key)
+    # Written: both sides of the split read the list, not the rows it was counted from.
+    hot = materialize(counts.where(F.col("_n") > F.lit(threshold)).select(key), "hot-keys")
     if n_hot <= BROADCAST_HOT_KEYS_MAX:
         hot = F.broadcast(hot)
     return "split", top, hot
@@ -91,9 +94,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    free_shuffles(spark)
     return spark.read.parquet(path)
 
 
+def numbered_rows(df: DataFrame) -> DataFrame:
+    """Rows with a number each, for a join back once written, and the hash that ranks need."""
+    return df.withColumns({ROW: F.monotonically_increasing_id(), "_row_hash": row_hash(df)})
+
+
 def slice_of(micros: Column, slice_seconds: int) -> Column:
     return F.coalesce(floor_div(micros, slice_seconds * MICROS_PER_SECOND), F.lit(_NULL_SLICE))
 

@@ -90,7 +90,7 @@ def refresh_products(spark: SparkSession, events_path: str, target: str,
                      cfg: MartConfig = MartConfig()) -> Optional[dt.date]:
     from clickmarts.operators.products import products_mart
     first = refresh_window(_existing_max_day(spark, target), cfg)
-    events = read_partitions(spark, events_path, first)
+    events = read_partitions(spark, events_path, first).repartition("id")  # before items are unnested
     write_partitions(products_mart(events, cfg.not_set), target)
     return first
 

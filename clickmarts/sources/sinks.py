@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickmarts.session import ensure_checkpoint_dir
+from clickmarts.session import ensure_checkpoint_dir, free_shuffles
 
 PARTITION_COL = "date_tz"
 
@@ -33,6 +33,7 @@ def write_partitions(df: DataFrame, path: str, partition_col: str = PARTITION_CO
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(partition_col)
         .parquet(path))
+    free_shuffles(df.sparkSession)
 
 
 def read_partitions(spark: SparkSession, path: str, first_day=None,

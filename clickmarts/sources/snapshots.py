@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clickmarts.session import free_shuffles
 from clickmarts.sources import files
 from clickmarts.sources.schema import merge_types
 
@@ -172,6 +173,7 @@ class MartTable:
         kept = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.NullType)]
         (df.select(*[F.col(f"`{c}`") for c in kept]).hint("rebalance", self.partition_col)
            .write.partitionBy(self.partition_col).parquet(f"{self.path}/{folder}"))
+        free_shuffles(self.spark)
         prefix = f"{self.partition_col}="
         return folder, [n.removeprefix(prefix) for n in files.names(self.spark, f"{self.path}/{folder}") if n.startswith(prefix)]
 
