@@ -145,22 +145,29 @@ def session_rollup(events: DataFrame, rollup: str = "fused") -> DataFrame:
     if rollup not in ("fused", "narrow"):
         raise ValueError("rollup must be 'fused' or 'narrow'")
     given = events
+    grouped = ["user_pseudo_id", "session_id"]
     is_start = F.col("event_name") == F.lit("session_start")
     key = first_row_key()
     ep = F.col("event_params")
-    events = events.withColumn("_param_keys", param_keys(ep))
+    # Sorts carry what is read of the parameters, not the parameters.
     keys = F.col("_param_keys")
+    events = events.withColumn("_param_keys", param_keys(ep)).withColumns({
+        "_engaged": engaged_flag(ep, keys), "_msec": param(ep, "engagement_time_msec", "int_value", keys),
+        "_composite": event_composite(keys)}).drop("_param_keys", "event_params")
+    if rollup == "fused":
+        # The first row of each composite counts: one sort for it and for the groups.
+        first = F.row_number().over(Window.partitionBy(*grouped, "_composite").orderBy("_composite")) == F.lit(1)
+        events = events.withColumn("_counted", first & F.col("_composite").isNotNull())
     # The session id is derived from the user, so grouping by (user, session)
     # forms the same groups; it lets the aggregate (and the per-user window
     # after it) reuse an existing partitioning by user instead of a new
     # exchange by session.
-    rolled = events.groupBy("user_pseudo_id", "session_id").agg(
+    rolled = events.groupBy(*grouped).agg(
         F.min_by(_start_record(), F.when(is_start, key)).alias("start"),
         F.min_by(_attribution_record(), key).alias("attr"),
-        F.max(engaged_flag(ep, keys)).alias("is_engaged"),
-        (F.sum(param(ep, "engagement_time_msec", "int_value", keys))
-         / F.lit(1000)).alias("engaged_seconds"),
-        *([F.count_distinct(event_composite(keys)).alias("event_count")] if rollup == "fused" else []),
+        F.max("_engaged").alias("is_engaged"),
+        (F.sum("_msec") / F.lit(1000)).alias("engaged_seconds"),
+        *([F.count_if("_counted").alias("event_count")] if rollup == "fused" else []),
         F.max("event_timestamp_utc").alias("session_end_at_utc"),
         F.nullif(F.count_if(F.col("event_name") == F.lit("page_view")), F.lit(0)).alias("page_views"),
     )
@@ -195,9 +202,11 @@ def last_non_direct(sessions: DataFrame, layout: str = "auto",
         return df.withColumn("lnd", F.coalesce(F.last(candidate, ignorenulls=True).over(w), own))
 
     def sliced_(df: DataFrame) -> DataFrame:
-        return sliced.last_non_direct(sliced.materialize(df, "session-rollup"), candidate, own,
-                                      slice_seconds)
+        return sliced.last_non_direct(df, candidate, own, slice_seconds)
 
+    # Written where it is read more than once: for the sliced passes, or to be counted and split.
+    if layout == "sliced" or layout == "auto" and (bound is None or bound > threshold):
+        sessions = sliced.materialize(sessions, "session-rollup")
     chosen, _, hot = sliced.plan_layout(sessions, layout, "user_pseudo_id", threshold,
                                         bound=bound)
     if chosen == "split":
