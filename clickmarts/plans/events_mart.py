@@ -25,18 +25,30 @@ def prepare_events(raw: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
     return ev.flatten_records(df, cfg.strict_engagement)
 
 
+#: What the windows (W1-W4) read of a prepared row.
+WINDOW_INPUTS = ("user_pseudo_id", "event_timestamp_utc", "event_name", "event_bundle_sequence_id", "stream_id",
+                 "ga_session_id", "page_url", "hostname")
+
+
 def _windows(df: DataFrame, layout: str, cfg: MartConfig) -> DataFrame:
     """W1-W4 (+ session key and URL parts) in the chosen layout."""
     if layout == "sliced":
-        df = sliced.materialize(df, "prepared-events")
+        # The windows run on narrow rows; the records meet their results once, by row number.
+        wide = df if sliced.ROW in df.columns else sliced.materialize(sliced.numbered_rows(df), "prepared-events")
+        narrow = wide.select(sliced.ROW, "_row_hash", *WINDOW_INPUTS)
         if cfg.id_scope == "scan":
-            df = sliced.rank_events(df, cfg.slice_seconds)
+            narrow = sliced.rank_events(narrow, cfg.slice_seconds)
         else:
-            df = ev.rank_events(df, cfg.id_scope)  # keyed by (user, instant): no hot partition
-        df = sliced.backfill_session_id(df, cfg.session_length_seconds)
-        df = sliced.materialize(ev.add_session_key(df), "sessionised-events")
-        df = ev.with_url_parts(df, "page_url", cfg.clean_path)
-        return sliced.navigation_and_sequence(df, cfg.slice_seconds)
+            narrow = ev.rank_events(narrow, cfg.id_scope).drop("_sec")  # keyed by (user, instant): no hot partition
+        narrow = sliced.backfill_session_id(sliced.materialize(narrow, "ranked-events"), cfg.session_length_seconds)
+        narrow = sliced.materialize(ev.add_session_key(narrow), "sessionised-events")
+        narrow = ev.with_url_parts(narrow, "page_url", cfg.clean_path)
+        narrow = sliced.navigation_and_sequence(narrow, cfg.slice_seconds)
+        kept = [c for c in wide.columns if c not in ("_row_hash", "hostname", "event_timestamp_utc", "ga_session_id")]
+        found = [c for c in narrow.columns if c == sliced.ROW or c not in kept and c != "_row_hash"]
+        return wide.select(*kept).join(narrow.select(*found), sliced.ROW).drop(sliced.ROW)
+    if cfg.id_scope == "instant":
+        df = df.repartition("user_pseudo_id")  # one exchange for the rank and all that follows
     df = ev.rank_events(df, cfg.id_scope)
     df = ev.backfill_session_id(df, cfg.session_length_seconds)
     df = ev.add_session_key(df)
@@ -65,8 +77,10 @@ def events_mart(raw: DataFrame, cfg: MartConfig = MartConfig()) -> DataFrame:
     layout, top, hot = sliced.plan_layout(df, cfg.window_layout, "user_pseudo_id",
                                           cfg.skew_threshold_rows)
     if layout == "split":
+        # Written once: the rows are not derived anew for each side.
+        df = sliced.materialize(sliced.numbered_rows(df), "prepared-events")
         normal, hot_rows = sliced.split_by_keys(df, hot, "user_pseudo_id")
-        df = _windows(normal, "user", cfg).unionByName(_windows(hot_rows, "sliced", cfg))
+        df = _windows(normal.drop(sliced.ROW), "user", cfg).drop("_row_hash").unionByName(_windows(hot_rows, "sliced", cfg))
     else:
         df = _windows(df, layout, cfg)
     df = attr.resolve_traffic_fields(df)
