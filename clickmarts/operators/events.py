@@ -28,7 +28,10 @@ ROW_CONTENT = ("event_params", "user_properties", "items", "ecommerce", "device"
 
 def row_hash(df: DataFrame) -> Column:
     """Hash of a row's content with its records and arrays and the kind of its shard: the last
-    sort key of ranks, so that rows that differ at all rank the same way on every run."""
+    sort key of ranks, so that rows that differ at all rank the same way on every run.
+    Rows that left their records behind bring it along as ``_row_hash``."""
+    if "_row_hash" in df.columns:
+        return F.col("_row_hash")
     return F.xxhash64(*[F.col(c) for c in ROW_CONTENT if c in df.columns])
 
 
@@ -197,17 +200,19 @@ def rank_events(df: DataFrame, id_scope: str = "scan") -> DataFrame:
     ``scan``: ``row_number`` over the user's scanned events ordered by time
     and name (reference).  ``instant``: rank only among events of the same
     user and microsecond, so ids are stable when other days are re-read and
-    the window is keyed by (user, instant): no hot-user partition.
+    the window is keyed by (user, instant): no hot-user partition.  (The second
+    is a function of the instant.  Rows that already lie by user stay there, and
+    the back-fill finds its order.)
     The bundle sequence id and a hash of the content are the last sort keys, so
     ties resolve the same way on every run.
     """
+    # By whole second first: the back-fill's window then needs no sort of its own.
+    df = df.withColumn("_sec", seconds_from_micros(F.col("event_timestamp_utc")))
     if id_scope == "scan":
-        # By whole second first: the back-fill's window then needs no sort of its own.
-        df = df.withColumn("_sec", seconds_from_micros(F.col("event_timestamp_utc")))
         w = Window.partitionBy("user_pseudo_id").orderBy(
             "_sec", "event_timestamp_utc", "event_name", "event_bundle_sequence_id", row_hash(df))
     elif id_scope == "instant":
-        w = Window.partitionBy("user_pseudo_id", "event_timestamp_utc").orderBy(
+        w = Window.partitionBy("user_pseudo_id", "_sec", "event_timestamp_utc").orderBy(
             "event_name", "event_bundle_sequence_id", row_hash(df))
     else:
         raise ValueError(f"id_scope must be 'scan' or 'instant', got {id_scope!r}")

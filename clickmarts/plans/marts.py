@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from clickmarts.config import MartConfig
 from clickmarts.operators.products import products_mart
+from clickmarts.operators.sliced import materialize
 from clickmarts.plans.events_mart import events_mart
 from clickmarts.plans.sessions_mart import sessions_mart
 from clickmarts.sources.shards import SUFFIX_COL, tag_shard
@@ -107,7 +108,10 @@ class Marts:
         if mine is not None and mine.inputs[EVENTS] == version:
             return mine
         days = None if changed is None else [dt.date.fromisoformat(d) for d in changed if d != NULL_DAY]
-        mart = products_mart(self.events.read(days=days, version=version), self.cfg.not_set)
+        # Dealt by event before its items are unnested: equal rows are of one event id, and events
+        # are shuffled instead of rows that repeat an event's columns per item.
+        events = self.events.read(days=days, version=version).repartition("id")
+        mart = products_mart(events, self.cfg.not_set)
         return self.products.commit(mart, days=days, inputs={EVENTS: version}, base=mine and mine.version)
 
     def _follow_sessions(self) -> Manifest:
@@ -132,7 +136,8 @@ class Marts:
             read_from = first - dt.timedelta(days=reach)
         known = self.events.read(first_day=read_from, version=version).where(F.col("date_tz") <= F.lit(last + dt.timedelta(days=self.padding_days)))
         anew = sessions_mart(known.join(users, "user_pseudo_id", "left_semi"), self.cfg)
-        anew = anew.where(F.col("date_tz").between(F.lit(first), F.lit(last)))
+        # Compared with the old rows and then written: computed once.
+        anew = materialize(anew.where(F.col("date_tz").between(F.lit(first), F.lit(last))), "sessions-anew")
         span = [d for d in map(dt.date.fromisoformat, (x for x in mine.days if x != NULL_DAY)) if first <= d <= last]
         held = self.sessions.read(days=span, version=mine.version)
         theirs = held.join(users, "user_pseudo_id", "left_semi")
