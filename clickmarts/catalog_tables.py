@@ -9,13 +9,13 @@ from pyspark.sql import functions as F
 from clickmarts.catalog import flat, r_events, register
 from clickmarts.config import MartConfig
 from clickmarts.plans.marts import Marts
-from clickmarts.session import configure
+from clickmarts.session import configure, free_shuffles
 from clickmarts.sources import files
 from clickmarts.sources.fixtures import even_shards, raw_events, raw_orders
 from clickmarts.sources.schema import read_evolved
 from clickmarts.sources.shards import Property, incremental_bound, read_export, read_shards, tag_property, tag_shard
 from clickmarts.sources.sinks import scratch_path, write_partitions
-from clickmarts.sources.snapshots import MartTable
+from clickmarts.sources.snapshots import CODEC, MartTable
 
 #: Sessions of the fixture reach over three days.
 PADDING = 3
@@ -28,7 +28,8 @@ def _days(spark, raw) -> list[str]:
 
 
 def _land(raw, path: str) -> None:
-    raw.write.mode("append").partitionBy("table_suffix").parquet(path)
+    raw.write.mode("append").option("compression", CODEC).partitionBy("table_suffix").parquet(path)
+    free_shuffles(raw.sparkSession)
 
 
 # -- schema versions (S2) -------------------------------------------------------------

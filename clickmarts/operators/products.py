@@ -55,6 +55,13 @@ def distinct_items(rows: DataFrame) -> DataFrame:
     return rows.distinct()
 
 
+def by_day_and_event(events: DataFrame) -> DataFrame:
+    """Events dealt in ranges of days, and of event ids within large days: the one exchange of a
+    products mart written by day.  Equal rows are of one day and event id, and events cross
+    instead of rows that repeat an event's columns per item and have two more keys each."""
+    return events.repartitionByRange("date_tz", "id")
+
+
 def products_mart(events: DataFrame, not_set: str = NOT_SET) -> DataFrame:
     """Event-item grain for ecommerce events with two surrogate ids (M2)."""
     rows = distinct_items(item_rows(explode_items(filter_ecommerce(events)), not_set))

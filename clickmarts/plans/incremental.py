@@ -88,10 +88,10 @@ def refresh_sessions(spark: SparkSession, events_path: str, target: str,
 
 def refresh_products(spark: SparkSession, events_path: str, target: str,
                      cfg: MartConfig = MartConfig()) -> Optional[dt.date]:
-    from clickmarts.operators.products import products_mart
+    from clickmarts.operators.products import by_day_and_event, products_mart
     first = refresh_window(_existing_max_day(spark, target), cfg)
-    events = read_partitions(spark, events_path, first).repartition("id")  # before items are unnested
-    write_partitions(products_mart(events, cfg.not_set), target)
+    events = by_day_and_event(read_partitions(spark, events_path, first))
+    write_partitions(products_mart(events, cfg.not_set), target, rebalance=False)
     return first
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickmarts.config import MartConfig
-from clickmarts.operators.products import products_mart
+from clickmarts.operators.products import by_day_and_event, products_mart
 from clickmarts.operators.sliced import materialize
 from clickmarts.plans.events_mart import events_mart
 from clickmarts.plans.sessions_mart import sessions_mart
@@ -61,7 +61,7 @@ class Marts:
 
     def build(self) -> dict[str, int]:
         """All marts from all raw shards, as new versions."""
-        made = self.events.commit(events_mart(tag_shard(self.read_raw()), self.cfg), fresh=True)
+        made = self.events.commit(events_mart(tag_shard(self.read_raw()), self.cfg), fresh=True, layout="sliced")
         return self.follow() | {EVENTS: made.version}
 
     def refresh(self) -> dict[str, int]:
@@ -108,11 +108,8 @@ class Marts:
         if mine is not None and mine.inputs[EVENTS] == version:
             return mine
         days = None if changed is None else [dt.date.fromisoformat(d) for d in changed if d != NULL_DAY]
-        # Dealt by event before its items are unnested: equal rows are of one event id, and events
-        # are shuffled instead of rows that repeat an event's columns per item.
-        events = self.events.read(days=days, version=version).repartition("id")
-        mart = products_mart(events, self.cfg.not_set)
-        return self.products.commit(mart, days=days, inputs={EVENTS: version}, base=mine and mine.version)
+        mart = products_mart(by_day_and_event(self.events.read(days=days, version=version)), self.cfg.not_set)
+        return self.products.commit(mart, days=days, inputs={EVENTS: version}, base=mine and mine.version, layout="dealt")
 
     def _follow_sessions(self) -> Manifest:
         mine, version, changed = self._behind(self.sessions)

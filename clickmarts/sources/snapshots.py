@@ -31,9 +31,15 @@ from pyspark.sql import types as T
 from clickmarts.session import free_shuffles
 from clickmarts.sources import files
 from clickmarts.sources.schema import merge_types
+from clickmarts.sources.sinks import scratch_path
 
 NULL_DAY = "__HIVE_DEFAULT_PARTITION__"
 COMMIT_COL = "_commit"
+#: Whole tables are dealt by day in so many slices of days, one after the other.
+SLICES = 8
+SLICE_COL = "_slice_of_days"
+#: Keys are hexadecimal digits, which zstd halves and snappy keeps.
+CODEC = "zstd"
 
 
 class CommitConflict(Exception):
@@ -164,22 +170,50 @@ class MartTable:
 
     # -- writing ------------------------------------------------------------------
 
-    def stage(self, df: DataFrame, version: int) -> tuple[str, list[str]]:
-        """Write ``df`` into a new commit folder; (folder, days written)."""
+    def stage(self, df: DataFrame, version: int, layout: str = "rebalance") -> tuple[str, list[str]]:
+        """Write ``df`` into a new commit folder; (folder, days written).
+
+        ``layout`` says how rows get to the files of their days: by an exchange
+        (``"rebalance"``); by none, since they lie by day already (``"dealt"``); or slice of
+        days by slice, from a copy written as the rows lie (``"sliced"``), so that the exchange
+        of all rows is never on disk, and not beside those that ``df`` comes from.
+        """
         folder = f"{COMMIT_COL}={version:08d}-{uuid.uuid4().hex[:12]}"
         for f in df.schema.fields:
             if f.metadata:
                 df = df.withMetadata(f.name, {})
         kept = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.NullType)]
-        (df.select(*[F.col(f"`{c}`") for c in kept]).hint("rebalance", self.partition_col)
-           .write.partitionBy(self.partition_col).parquet(f"{self.path}/{folder}"))
-        free_shuffles(self.spark)
+        df = df.select(*[F.col(f"`{c}`") for c in kept])
+        if layout == "sliced":
+            self._write_sliced(df, f"{self.path}/{folder}")
+        else:
+            self._write_days(df if layout == "dealt" else df.hint("rebalance", self.partition_col), f"{self.path}/{folder}")
         prefix = f"{self.partition_col}="
         return folder, [n.removeprefix(prefix) for n in files.names(self.spark, f"{self.path}/{folder}") if n.startswith(prefix)]
 
+    def _write_days(self, df: DataFrame, path: str) -> None:
+        df.write.mode("append").option("compression", CODEC).partitionBy(self.partition_col).parquet(path)
+        free_shuffles(self.spark)
+
+    def _write_sliced(self, df: DataFrame, path: str) -> None:
+        scratch = scratch_path(self.spark, "staged")
+        slice_of_day = F.pmod(F.xxhash64(self.partition_col), F.lit(SLICES)).cast("int")
+        try:
+            df.withColumn(SLICE_COL, slice_of_day).write.option("compression", CODEC).partitionBy(SLICE_COL).parquet(scratch)
+            free_shuffles(self.spark)
+            slices = [n for n in files.names(self.spark, scratch) if n.startswith(f"{SLICE_COL}=")]
+            if not slices:
+                self._write_days(df.limit(0), path)
+            for name in slices:
+                rows = self.spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+                self._write_days(rows.hint("rebalance", self.partition_col), path)
+                files.delete(self.spark, f"{scratch}/{name}")
+        finally:
+            files.delete(self.spark, scratch)
+
     def commit(self, df: DataFrame, days: Optional[Iterable[dt.date]] = None, inputs: Optional[dict[str, int]] = None,
                notes: Optional[dict] = None, base: Optional[int] = None, fresh: bool = False,
-               read_days: Iterable[dt.date] = ()) -> Manifest:
+               read_days: Iterable[dt.date] = (), layout: str = "rebalance") -> Manifest:
         """Write ``df`` and publish it as the next version.
 
         Days present in ``df`` replace the table's, others stay (S6).  ``days``, if given, are
@@ -187,10 +221,11 @@ class MartTable:
         from an empty table.  ``base`` is the version that ``df`` was computed from (the
         newest by default): days that another writer changed since then must be others than
         those decided here and the ``read_days`` of this table that ``df`` comes from.
+        ``layout`` is that of :meth:`stage`.
         """
         start = self.manifest(base) if base is not None else self.manifest()
         start = start or Manifest(0)
-        folder, written = self.stage(df, start.version + 1)
+        folder, written = self.stage(df, start.version + 1, layout)
         decided = {*written, *(d.isoformat() for d in days or ())}
         touched = decided | {d.isoformat() for d in read_days}
         head = start
